@@ -26,6 +26,7 @@ def tokenizer_path(name_or_path: str) -> str:
     return name_or_path if os.sep in name_or_path else public_tokenizers.path(name_or_path)
 
 
+MARKS = [".", ",", ";", ":", "!", "?"]
 #: Pieces that the library encodes in one call's text, with a border word between them.
 GROUP = 256
 
@@ -37,7 +38,7 @@ class Encoder:
     limit: entries of the cache, which is emptied when full.
     """
 
-    def __init__(self, path: str, words: bool, limit: int = 600_000):
+    def __init__(self, path: str, words: bool, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,6 +48,8 @@ class Encoder:
         #: A word of one id that stands between pieces.
         self.border = next((w, i[0]) for w in (" zurich", " Zurich", " January") if len(i := self.tokenizer.encode(w, add_special_tokens=False).ids) == 1)
 
+        self.mark = dict(zip(MARKS, self.whole(MARKS), strict=True))
+
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
@@ -77,9 +80,14 @@ class Encoder:
         cache = self.cache
         cut = [None if RARE_SPACE.search(t) or not self.words and JOINED_SPACE.search(t) else t.split() if self.words else t.split(" ") for t in texts]
         cold = list(set(chain.from_iterable(c if self.words else c[1:] for c in cut if c)).difference(cache))
+        # letters and one mark after them are split by every tokenizer here: the word and the mark are encoded once each
+        marked = [p for p in cold if p[-1:] in MARKS and p[:-1].isalpha()]
+        cold = list({p[:-1] for p in marked}.union(set(cold).difference(marked)).difference(cache))
         for i in range(0, len(cold), 100 * GROUP):
             part = cold[i : i + 100 * GROUP]
             cache.update(zip(part, self.pieces(part), strict=True))
+        for p in marked:
+            cache[p] = cache[p[:-1]] + self.mark[p[-1]]
         rest = iter(self.whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
         if self.words:
             return [next(rest) if c is None else b"".join(map(cache.__getitem__, c)) for c in cut]
