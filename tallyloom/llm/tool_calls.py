@@ -1,7 +1,8 @@
 """Chat formatting: tool calls linked with their results, ordered, validated and written as canonical JSON.
 
 Everything is Spark expressions and hash joins on call ids, which are unique, so that no
-conversation gathers in a task. Order is Kahn's: in each round the calls whose needs are all placed get the next level.
+conversation gathers in a task. Order is topological: pointer doubling along chains of calls with one need, and Kahn's
+rounds over the calls with several.
 """
 
 from __future__ import annotations
@@ -63,20 +64,39 @@ def faults(name: Column, arguments: Column, schemas: dict[str, dict]) -> Column:
 def levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(call_id, level): 0 for calls without needs, else one more than the highest of its needs; null on and behind cycles.
 
-    needs: (call_id, needed). Needs of or for ids that aren't among the calls are left out.
+    needs: (call_id, needed). Needs of or for ids that aren't among the calls are left out; repeated ones count once.
+
+    Calls with one need form chains: pointer doubling finds where each chain starts, in as many rounds as the length
+    of the longest has bits. Kahn's rounds then go over the calls with several needs alone.
     """
-    ids = calls.select("call_id").where("call_id IS NOT NULL").distinct()
+    ids = written(calls.select("call_id").where("call_id IS NOT NULL").distinct(), "calls-ids")
     edges = written(needs.select("call_id", "needed").distinct().join(ids, "call_id", "left_semi").join(ids.select(F.col("call_id").alias("needed")), "needed", "left_semi"), "calls-needs")
-    waiting = written(edges.groupBy("call_id").agg(F.count("*").alias("left")), "calls-waiting")
-    now = written(ids.join(waiting, "call_id", "left_anti").select("call_id", F.lit(0).alias("level")), "calls-level")
-    placed, k = now, 0
-    while now.head(1) and waiting.head(1):
-        k += 1
-        done = edges.join(now.select(F.col("call_id").alias("needed")), "needed", "left_semi").groupBy("call_id").agg(F.count("*").alias("done"))
-        step = written(waiting.join(done, "call_id", "left").select("call_id", (F.col("left") - F.coalesce("done", F.lit(0))).alias("left")), "calls-step")
-        now, waiting = step.where("left = 0").select("call_id", F.lit(k).alias("level")), step.where("left > 0")
+    degree = written(edges.groupBy("call_id").agg(F.count("*").alias("left"), F.min("needed").alias("at")), "calls-degree")
+    roots = ids.join(degree, "call_id", "left_anti").select("call_id", F.lit(0).cast("long").alias("level"))
+    single = degree.where("left = 1").select("call_id", "at")
+    # done: the call that is pointed at has no need or several
+    chained = single.select(F.col("call_id").alias("at"), F.lit(True).alias("more"))
+    links = written(single.join(chained, "at", "left").select("call_id", "at", F.lit(1).cast("long").alias("steps"), F.col("more").isNull().alias("done")), "calls-links")
+    # a pointer that is open after this many rounds runs in a cycle
+    for _ in range(links.count().bit_length()):
+        if not links.where("NOT done").head(1):
+            break
+        ahead = links.select(F.col("call_id").alias("at"), F.col("at").alias("to"), F.col("steps").alias("further"), F.col("done").alias("ends"))
+        moved = links.where("NOT done").join(ahead, "at").select("call_id", F.col("to").alias("at"), (F.col("steps") + F.col("further")).alias("steps"), F.col("ends").alias("done"))
+        links = written(links.where("done").unionByName(moved), "calls-links")
+    waiting = written(degree.where("left > 1").select("call_id", "left", F.lit(0).cast("long").alias("best")), "calls-waiting")
+    # a need on or behind a cycle stays counted and is never placed
+    starts = links.select(F.col("call_id").alias("needed"), F.when(F.col("done"), F.col("at")).alias("start"), "steps", F.lit(True).alias("chain"))
+    joins = edges.join(waiting, "call_id", "left_semi").join(starts, "needed", "left")
+    joins = written(joins.select("call_id", F.when(F.col("chain"), F.col("start")).otherwise(F.col("needed")).alias("start"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps")), "calls-joins")
+    now, placed = roots, roots
+    while waiting.head(1) and now.head(1):
+        done = joins.join(now.select(F.col("call_id").alias("start"), "level"), "start").groupBy("call_id").agg(F.count("*").alias("met"), F.max(F.col("level") + F.col("steps")).alias("high"))
+        step = written(waiting.join(done, "call_id", "left").select("call_id", (F.col("left") - F.coalesce("met", F.lit(0))).alias("left"), F.greatest("best", "high").alias("best")), "calls-step")
+        now, waiting = step.where("left = 0").select("call_id", F.col("best").alias("level")), step.where("left > 0")
         placed = placed.unionByName(now)
-    return ids.join(placed, "call_id", "left")
+    behind = links.where("done").join(placed.select(F.col("call_id").alias("at"), "level"), "at").select("call_id", (F.col("level") + F.col("steps")).alias("level"))
+    return ids.join(placed.unionByName(behind), "call_id", "left").select("call_id", F.col("level").cast("int").alias("level"))
 
 
 def link(calls: DataFrame, results: DataFrame, needs: DataFrame, schemas: dict[str, dict]) -> DataFrame:

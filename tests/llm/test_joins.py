@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyloom.llm import ngram_join
 from tallyloom.llm.ngram_join import OP7_SQL, Order, Tree, linked, near_duplicates, op7_ngram_jaccard_join
-from tallyloom.llm.tool_calls import OP9_SQL, SCHEMAS, link, op9_tool_call_linking
+from tallyloom.llm.tool_calls import OP9_SQL, SCHEMAS, levels, link, op9_tool_call_linking
 
 
 def brute(rows):
@@ -123,6 +123,23 @@ def test_links_levels_and_faults(spark):
     assert link(calls.where("false"), results.where("false"), needs.where("false"), SCHEMAS).collect() == []
 
 
+def test_levels_against_brute_force(spark):
+    rng = np.random.default_rng(9)
+    edges = {(i, i - 1) for i in range(1, 40)}  # a chain
+    edges |= {(int(i), int(rng.integers(0, i))) for i in range(40, 120) for _ in range(rng.integers(0, 4))}
+    edges |= {(130, 131), (131, 132), (132, 130), (133, 130), (134, 133), (134, 5), (135, 134), (136, 136), (137, 200)}
+    nodes = range(138)
+    of = {i: {b for a, b in edges if a == i and b in nodes} for i in nodes}
+    want: dict[int, int] = {}
+    while more := {i: 1 + max((want[b] for b in of[i]), default=-1) for i in nodes if i not in want and of[i] <= want.keys()}:
+        want |= more
+    calls = spark.createDataFrame([(str(i),) for i in [*nodes, 3, 3]] + [(None,)], "call_id string")
+    needs = spark.createDataFrame([(str(a), str(b)) for a, b in [*sorted(edges), (1, 0)]] + [(None, "1"), ("1", None)], "call_id string, needed string")
+    got = levels(calls, needs).collect()
+    assert len(got) == len(nodes) and {int(r.call_id): r.level for r in got} == {i: want.get(i) for i in nodes}
+    assert {want.get(i) for i in (130, 134, 135, 136)} == {None} and want[39] == 39
+
+
 def test_pipeline(spark, sf):
     docs, columns = spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id", "text", "lang", "source", "n_chars"]
     sizes = [docs.count()]
