@@ -2,30 +2,55 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of text, and rows, that an operator turns into Python objects at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder (a URI) under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where that setting is absent, as in tests, a local folder is set as the checkpoint folder.
+    Where that setting is absent, the folder set by ``SparkContext.setCheckpointDir`` serves; with neither,
+    in local mode alone, one under the warehouse.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context._jsc.sc().getCheckpointDir().getOrElse(None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
-        spark.sparkContext.setCheckpointDir(base)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tallyloom/{name}-{uuid.uuid4().hex}"
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_switch, _writers = threading.Lock(), {}
+
+
+def _writing(spark: SparkSession, more: int) -> None:
+    """Count the session's writes that run: shuffle files are cleaned up while there is one, and as before after the last."""
+    key = spark._jsparkSession.hashCode()
+    with _switch:
+        running, before = _writers.get(key, (0, None))
+        if not running:
+            before = spark.conf.get(CLEANUP, "false")
+            spark.conf.set(CLEANUP, "true")
+        if running + more:
+            _writers[key] = (running + more, before)
+        else:
+            _writers.pop(key)
+            spark.conf.set(CLEANUP, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -35,17 +60,89 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    _writing(spark, 1)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        _writing(spark, -1)
     out = spark.read.schema(df.schema).parquet(path)
     out._folder = path
     return out
 
 
+def shielded(df: DataFrame, outputs: list[str]) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``df`` under names that no scratch column has, the new name of each column, and the columns under their own names.
+
+    A column named like an output is kept under that name with ``_input`` behind it.
+    """
+    inner = df.toDF(*(f"in {i}" for i in range(len(df.columns))))
+    back = [F.col(f"in {i}").alias(c) for i, c in enumerate(set_aside(df, outputs).columns)]
+    return inner, {c: f"in {i}" for i, c in enumerate(df.columns)}, back
+
+
+def set_aside(df: DataFrame, outputs: list[str]) -> DataFrame:
+    """``df`` whose columns named like an output are renamed: ``_input`` stands behind the name."""
+    taken = {c.lower() for c in [*df.columns, *outputs]}
+    names = []
+    for c in df.columns:
+        if c.lower() in {x.lower() for x in outputs}:
+            c += "_input"
+            while c.lower() in taken:
+                c += "_"
+            taken.add(c.lower())
+        names.append(c)
+    return df.toDF(*names)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def id_name(id_col: str, outputs: list[str]) -> str:
+    """The id's name in an output: its own, with ``_input`` behind it if an output has that name."""
+    return f"{id_col}_input" if id_col.lower() in {x.lower() for x in outputs} else id_col
+
+
+_held: dict[Any, Any] = {}
+
+
+def worker_state(key: Any, make: Callable[[], Any]) -> Any:
+    """What this Python worker keeps from task to task: the state of one operator at a time, as workers outlive stages."""
+    if key not in _held:
+        release()
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    """Drop the worker's state and give freed memory back to the system."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def slices(batch: pa.RecordBatch, column: str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and about ``size`` bytes of a string column (one row at least)."""
+    ends = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = min(at + rows, max(at + 1, int(ends.searchsorted(before + size, "right"))))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate, from the sizes of files: no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``written`` made, once nothing that is still to run reads them."""
     for t in tables:
@@ -86,22 +183,27 @@ def raw(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def map_batches(df: DataFrame, columns: list[str], function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` over the named columns alone, a batch at a time."""
+def map_slices(
+    df: DataFrame, column: str, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+) -> DataFrame:
+    """``mapInArrow``, a slice at a time, cut by the bytes of a string column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if (out := function(batch)) is not None:
-                yield out
+            yield from map(function, slices(batch, column))
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hot_values(df: DataFrame, key: str, shares: int = 256) -> DataFrame:
+#: Values that are looked for as hot ones at most; no other value holds more than one in so many rows.
+SHARES = 1 << 12
+
+
+def hot_values(df: DataFrame, key: str, shares: int = SHARES) -> DataFrame:
     """The values of ``key`` that more than one in ``shares`` rows hold: fewer than ``shares`` rows by arithmetic.
 
     Counts are pre-aggregated in each task, so a hot value doesn't gather anywhere.
@@ -111,15 +213,16 @@ def hot_values(df: DataFrame, key: str, shares: int = 256) -> DataFrame:
     return counts.where(F.col("_n") > F.lit(max(total // shares, 1000))).select(key)
 
 
-def join_by_hot_key(left: DataFrame, right: DataFrame, key: str, shares: int = 256) -> DataFrame:
+def join_by_hot_key(left: DataFrame, right: DataFrame, key: str, shares: int = SHARES) -> DataFrame:
     """Left join on ``key``, where ``right`` has a row for each key at most.
 
     Rows of ``left`` whose key is hot meet their rows of ``right`` by a broadcast of fewer than
     ``shares`` rows (a bound by arithmetic); no other key has more than one in ``shares`` rows.
     """
-    hot = [r[0] for r in hot_values(left, key, shares).collect()]
+    hot = hot_values(left, key, shares).collect()  # fewer than ``shares`` rows
     if not hot:
         return left.join(right, key, "left")
-    is_hot = F.col(key).isin(hot)
-    rest = left.where(~is_hot | F.col(key).isNull()).join(right.where(~is_hot), key, "left")
-    return rest.unionByName(left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, "left"))
+    keys = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(key).schema))
+    warm = F.broadcast(right.join(keys, key, "left_semi"))
+    rest = left.join(keys, key, "left_anti").join(right.join(keys, key, "left_anti"), key, "left")
+    return rest.unionByName(left.join(keys, key, "left_semi").join(warm, key, "left"))

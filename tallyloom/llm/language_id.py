@@ -8,20 +8,31 @@ one for each of its bytes, so that inference adds rows of tables of byte pairs.
 
 from __future__ import annotations
 
-import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, raw, table
+from .common import SLICE_BYTES, fresh, release, set_aside, slices, table
 
 WINDOW = 192
-LETTER = re.compile(r"[^\W\d_]")
-#: Letters in lower case; digits, white space and other ASCII characters as one each.
-FOLD = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 48 if 48 <= b <= 57 else 32 if b in b" \t\r\n\x0b\x0c" else 46 for b in range(256))
+LETTER = regex.compile(r"\p{L}")
+
+
+def folded(b: int) -> int:
+    """Letters in lower case; digits, white space and other ASCII characters as one each."""
+    if b > 127:
+        return b
+    c = chr(b)
+    return ord(c.lower()) if c.isalpha() else ord("0") if c.isdigit() else ord(" ") if c in " \t\r\n\x0b\x0c" else ord(".")
+
+
+FOLD = bytes(map(folded, range(256)))
 
 
 @dataclass
@@ -65,19 +76,33 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(samples: list[tuple[bytes, str]], widths: tuple[int, ...] = (2, 3, 4), filters: int = 8, epochs: int = 8, batch: int = 64, rate: float = 0.01, per_text: int = 2, seed: int = 5) -> Network:
-    """Fit the network by Adam on up to ``per_text`` windows, spread evenly over each text."""
+def sampled(data: bytes, per_text: int) -> np.ndarray:
+    """``per_text`` windows drawn from all over a whole text (all if it has fewer); equal texts give equal windows."""
+    w = windows(data)
+    if len(w) <= per_text:
+        return w
+    return w[np.sort(np.random.default_rng(zlib.crc32(data)).choice(len(w), per_text, replace=False))]
+
+
+def train(
+    samples: list[tuple[bytes, str]],
+    widths: tuple[int, ...] = (2, 3, 4),
+    filters: int = 8,
+    epochs: int = 5,
+    batch: int = 64,
+    rate: float = 0.01,
+    seed: int = 5,
+) -> Network:
+    """Fit the network by Adam on windows: (folded bytes, a multiple of ``WINDOW``, and the language)."""
     rng = np.random.default_rng(seed)
     classes = sorted({lang for _, lang in samples})
-    xs, ys = [], []
-    for data, lang in samples:
-        w = windows(data)
-        pick = np.unique(np.linspace(0, len(w) - 1, per_text).astype(int))
-        xs.append(w[pick])
-        ys += [classes.index(lang)] * len(pick)
-    x, y = np.concatenate(xs), np.array(ys)
+    parts = [np.frombuffer(data, "u1").reshape(-1, WINDOW) for data, _ in samples]
+    x = np.concatenate(parts)
+    y = np.repeat([classes.index(lang) for _, lang in samples], [len(p) for p in parts])
     n_features, n_classes = filters * len(widths), len(classes)
-    params = [rng.normal(0, 0.1, (w, 256, filters)).astype("f4") for w in widths] + [np.zeros(n_features, "f4"), rng.normal(0, 0.3, (n_features, n_classes)).astype("f4"), np.zeros(n_classes, "f4")]
+    params = [rng.normal(0, 0.1, (w, 256, filters)).astype("f4") for w in widths]
+    params += [np.zeros(n_features, "f4"), rng.normal(0, 0.3, (n_features, n_classes)).astype("f4")]
+    params.append(np.zeros(n_classes, "f4"))
     moments, step = [(np.zeros_like(p), np.zeros_like(p)) for p in params], 0
     for _ in range(epochs):
         order = rng.permutation(len(x))
@@ -128,47 +153,77 @@ def predict(net: Network, batch: list[bytes], paired: list | None = None) -> tup
     return [net.classes[k] for k in best], p[np.arange(len(p)), best].tolist()
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, max_chars: int = 20_000, **options) -> Network | None:
-    """A network from a bounded sample: of the rows with text and label, the ``max_rows`` least by a hash of the id.
+def fit(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    max_rows: int = 3000,
+    per_text: int = 4,
+    **options,
+) -> Network | None:
+    """A network from a bounded sample: of the rows with letters and label, the ``max_rows`` least by a hash of the id.
 
-    ``max_chars`` bounds what each sample row sends to the driver. None if no row has a label.
+    Of each, ``per_text`` windows from all over its whole text: the driver gets at most max_rows * per_text windows.
+    None if no row has a label.
     """
-    rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    # hashes below a bound that lets a fifth more than the sample through, so that tasks send few texts to the driver
-    share = min(1.0, 1.2 * max_rows / max(1, docs.where(F.col(lang_col).isNotNull()).count()))
-    rows = rows.withColumn("_h", F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")))).where(F.col("_h") <= min(2**63 - 1, int(-(2**63) + share * 2.0**64)))
-    rows = rows.select("_h", F.substring(F.col(text_col), 1, max_chars).alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
-    sample = [(r._text.encode(), r._lang) for r in rows.orderBy("_h", "_text").limit(max_rows).collect()]
-    sample = [(t, lang) for t, lang in sample if LETTER.search(t.decode())]
-    return train(sample, **options) if sample else None
-
-
-def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
-    """id, columns of ``keep``, lang_pred and score for every whole text.
+    labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    # hashes below a bound that lets a fifth more than the sample through, so that few texts are windowed
+    share = min(1.0, 1.2 * max_rows / max(1, labelled.count()))
+    rows = labelled.select(
+        F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"),
+        F.col(lang_col).cast("string").alias("lang"),
+        F.col(text_col).cast("string").alias("text"),
+    ).where(F.col("h") <= min(2**63 - 1, int(-(2**63) + share * 2.0**64)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [sampled(t.encode(), per_text).tobytes() if LETTER.search(t) else None for t in part["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["h"], part["lang"], pa.array(found, pa.binary())], ["h", "lang", "windows"])
+
+    cells = rows.mapInArrow(cut, "h long, lang string, windows binary").where("windows IS NOT NULL")
+    samples = [(bytes(r.windows), r.lang) for r in cells.orderBy("h", "lang", "windows").limit(max_rows).collect()]
+    return train(samples, **options) if samples else None
+
+
+def predictor(net: Network | None):
+    """An Arrow function from texts to structs (lang, score); a batch goes by slices bounded in bytes."""
+
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()  # what other operators have left in this worker
+        paired = net.paired() if net is not None else None
+        for batch in batches:
+            langs, scores = [], []
+            whole = pa.RecordBatch.from_arrays([batch], ["text"])
+            for part in slices(whole, "text", 512, SLICE_BYTES // 2):
+                texts = part["text"].to_pylist()
+                known = [net is not None and t is not None and LETTER.search(t) is not None for t in texts]
+                data = [t.encode() for t, k in zip(texts, known, strict=True) if k]
+                found = iter(zip(*predict(net, data, paired), strict=True)) if data else iter(())
+                for k in known:
+                    lang, score = next(found) if k else ("und", 0.0)
+                    langs.append(lang)
+                    scores.append(score)
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+        release()
+
+    return run.asNondeterministic()
+
+
+def identify(docs: DataFrame, net: Network | None, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
+    """``docs`` with a language and a score for every whole text; only the text goes to Python, once.
 
     Null texts, texts without letters, and all texts when there is no network: ``und`` with score 0. Repeated
-    rows and null ids stay as they are.
+    rows and null ids stay as they are; equal texts get equal results. No rows: no rows. A column of ``docs`` named like an output
+    is kept with ``_input`` behind its name.
     """
-    paired: list = []
-    names = [id_col, *keep]
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if net is not None and not paired:
-            paired.extend(net.paired())
-        langs, scores = [], []
-        for i in range(0, batch.num_rows, 64):
-            data = raw(batch.slice(i, 64), "_text")
-            known = [net is not None and LETTER.search(d.decode()) is not None for d in data]
-            found = iter(zip(*predict(net, [d for d, k in zip(data, known, strict=True) if k], paired), strict=True) if any(known) else ())
-            for k in known:
-                lang, score = next(found) if k else ("und", 0.0)
-                langs.append(lang)
-                scores.append(score)
-        return pa.RecordBatch.from_arrays([*(batch.column(f"_{i}") for i in range(len(names))), pa.array(langs), pa.array(scores)], [*names, "lang_pred", "score"])
-
-    rows = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(names)), F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + ", lang_pred string, score double"
-    return map_batches(rows, rows.columns, run, schema)
+    whole = set_aside(docs, [lang_as, score_as])
+    text = F.col(whole.columns[docs.columns.index(text_col)]).cast("string")
+    name = fresh(whole, "found")
+    found = whole.withColumn(name, predictor(net)(text))
+    return found.select(*whole.columns, F.col(name)["lang"].alias(lang_as), F.col(name)["score"].alias(score_as))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -180,4 +235,4 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents``: learnt from four fifths by the hash of doc_id, predicted for all."""
     docs = table(spark, sf_dir, "documents")
     net = fit(docs.where(~held_out()))
-    return identify(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return identify(docs.select("doc_id", "text"), net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

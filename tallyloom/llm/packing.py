@@ -19,20 +19,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import id_name, slices, table, texts
 from .tokens import encoder, tokenizer_path
 
 
 @dataclass(frozen=True)
 class Limits:
+    """The most that a sequence holds of each."""
+
     tokens: int = 2048
     segments: int = 64
     loss: int = 2048
 
 
 #: Rows and ids of a block.
-BLOCK_ROWS, BLOCK_IDS = 4096, 1 << 22
+BLOCK_ROWS, BLOCK_IDS = 4096, 1 << 21
 
 
 def fitting(first: int, size: int, loss_from: int, tokens: int, loss: int) -> int:
@@ -41,71 +44,68 @@ def fitting(first: int, size: int, loss_from: int, tokens: int, loss: int) -> in
     return min(most, max(0, loss_from - first) + loss)
 
 
-def pack(sizes: list[int], loss_from: list[int], limits: Limits = Limits()) -> list[list[tuple[int, int, int]]]:
-    """Sequences of pieces (example, start, length). Each token lies in exactly one piece; examples without tokens in none."""
+Piece = tuple[int, int, int]
+
+
+def bins(sizes: list[int], loss_from: list[int], limits: Limits = Limits()) -> list[list[Piece]]:
+    """Sequences of pieces (example, start, length), full or not. Each token lies in exactly one piece.
+
+    An example's tokens from ``loss_from`` on bear loss. Examples without tokens are in no piece.
+    """
     if min(limits.tokens, limits.segments, limits.loss) < 1:
         raise ValueError("limits are positive")
-    out: list[list[tuple[int, int, int]]] = []
-    tails: list[tuple[int, int]] = []
+    out: list[list[Piece]] = []
+    items: list[Piece] = []
     for k, (size, free) in enumerate(zip(sizes, loss_from, strict=True)):
         at = 0
-        while size - at >= limits.tokens or fitting(at, size, free, limits.tokens, limits.loss) < size - at:
+        while at < size:
             n = fitting(at, size, free, limits.tokens, limits.loss)
-            out += shares([(k, at, n)], n, limits.tokens)
+            if n == limits.tokens:
+                out.append([(k, at, n)])
+            else:
+                items.append((k, at, n))
             at += n
-        if at < size:
-            tails.append((k, at))
-    if not tails:
+    if not items:
         return out
-    item = np.array([k for k, _ in tails])
-    start = np.array([a for _, a in tails])
-    size = np.array(sizes)[item]
-    free = np.array(loss_from)[item]
-    rest = size - start
-    loss = size - np.maximum(start, np.minimum(free, size))
-    live = np.ones(len(item), bool)
+    items.sort(key=lambda x: -x[2])
+    item, start, rest = (np.array(x) for x in zip(*items, strict=True))
+    # tokens of each piece that come before those that bear loss
+    free = np.clip(np.array(loss_from)[item] - start, 0, rest)
     scale = np.array([1 / limits.tokens**2, 1 / limits.segments**2, 1 / limits.loss**2])
-
-    def take(i: int, n: int, into: list) -> None:
-        into.append((int(item[i]), int(start[i]), n))
-        start[i] += n
-        rest[i] -= n
-        loss[i] = size[i] - max(start[i], min(free[i], size[i]))
-        live[i] = rest[i] > 0
-
-    order = np.argsort(-rest, kind="stable")
-    item, start, size, free, rest, loss = (x[order] for x in (item, start, size, free, rest, loss))
-    low = 0
-    while True:
-        while low < len(live) and not live[low]:
-            low += 1
-        if low == len(live):
-            return out
-        pieces: list[tuple[int, int, int]] = []
+    left = len(items)
+    while left:
+        if 2 * left < len(rest):
+            live = rest > 0
+            item, start, rest, free = item[live], start[live], rest[live], free[live]
+        pieces: list[Piece] = []
         room = np.array([limits.tokens, limits.segments, limits.loss])
-        while room[0] > 0 and room[1] > 0:
-            if room[1] == 1 and pieces:  # the last segment: fill up by a cut if any example is long enough
-                fits = live & (rest == room[0]) & (loss <= room[2])
-            else:
-                fits = live & (rest <= room[0]) & (loss <= room[2])
-            if fits.any():
-                w = room * scale
-                i = int(np.argmax(np.where(fits, rest * w[0] + loss * w[2] + w[1], -1.0)))
-                n = int(rest[i])
-            else:
-                longest = np.where(live, rest, -1)
-                i = int(np.argmax(longest))
-                if longest[i] < 0:
-                    break
-                n = fitting(int(start[i]), int(size[i]), int(free[i]), int(room[0]), int(room[2]))
+        while left and room[0] > 0 and room[1] > 0:
+            loss = rest - free
+            fits = (rest > 0) & (rest <= room[0]) & (loss <= room[2])
+            if room[1] == 1 and pieces:  # the last segment: a whole example only if it fills the sequence
+                fits &= rest == room[0]
+            w = room * scale
+            i = int(np.argmax(np.where(fits, rest * w[0] + loss * w[2] + w[1], -1.0)))
+            n = int(rest[i])
+            if not fits[i]:  # no whole example: the longest cut
+                cut = np.minimum(np.minimum(rest, room[0]), free + room[2])
+                i = int(np.argmax(cut))
+                n = int(cut[i])
                 if n < 1:
                     break
-            before = loss[i]
-            take(i, n, pieces)
-            room -= [n, 1, before - loss[i]]
-            if not live.any():
-                break
-        out += shares(pieces, sum(n for _, _, n in pieces), limits.tokens)
+            pieces.append((int(item[i]), int(start[i]), n))
+            room -= [n, 1, max(0, n - int(free[i]))]
+            start[i] += n
+            rest[i] -= n
+            free[i] = max(0, int(free[i]) - n)
+            left -= int(rest[i] == 0)
+        out.append(pieces)
+    return out
+
+
+def pack(sizes: list[int], loss_from: list[int], limits: Limits = Limits()) -> list[list[Piece]]:
+    """``bins``, and what isn't full cut into powers of two."""
+    return [s for b in bins(sizes, loss_from, limits) for s in shares(b, sum(n for _, _, n in b), limits.tokens)]
 
 
 def shares(pieces: list[tuple[int, int, int]], total: int, tokens: int) -> list[list[tuple[int, int, int]]]:
@@ -126,18 +126,39 @@ def shares(pieces: list[tuple[int, int, int]], total: int, tokens: int) -> list[
     return out
 
 
-def pack_texts(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, with_ids: bool = False) -> DataFrame:
+def pack_texts(
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int,
+    limits: Limits = Limits(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    prompt_col: str | None = None,
+    lead: int = 0,
+    with_ids: bool = False,
+) -> DataFrame:
     """Encode every whole text, append ``end_id``, pack; a row for each piece.
 
-    id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens, and ids on demand. With
-    ``prompt_col`` (a text before the text, for instruction data) its tokens come first and bear no loss; else
-    all do. Null and empty texts are the end id alone. Repeated rows and null ids are packed like
-    others, each row for itself. Sequences don't cross partitions; ``sequence_id`` is the partition's number
-    times 2**32 plus a count. No rows: no pieces.
+    id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens, bin_tokens (tokens of the piece's sequence
+    before unfilled ones are cut into powers of two), and ids on demand.
+
+    With ``prompt_col`` (a text before the text, for instruction data) its tokens come first and bear no loss.
+    Without, the first ``lead`` tokens of a text are its prompt, but half of its tokens at most; the rest bear loss.
+
+    Null and empty texts are the end id alone. Repeated rows and null ids are packed like others, each row for
+    itself. Texts of any length are cut. Sequences don't cross partitions; ``sequence_id`` is the partition's number
+    times 2**32 plus a count. No rows: no pieces. Other columns are ignored; an id named like an output has
+    ``_input`` behind its name.
     """
     path = tokenizer_path(tokenizer)
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.selectExpr(f"`{id_col}` AS _id", f"CAST(`{text_col}` AS STRING) AS _text", f"CAST(`{prompt_col}` AS STRING) AS _prompt" if prompt_col else "CAST(NULL AS STRING) AS _prompt")
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.col(text_col).cast("string").alias("text"),
+        (F.col(prompt_col) if prompt_col else F.lit(None)).cast("string").alias("prompt"),
+    )
+    numbers = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens", "bin_tokens"]
+    names = [id_name(id_col, [*numbers, "ids"]), *numbers] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -145,43 +166,52 @@ def pack_texts(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Li
 
         def block() -> pa.RecordBatch:
             nonlocal number, ids, blobs, free, held
-            columns: list[list] = [[] for _ in range(9)]
-            for pieces in pack([len(b) // 4 for b in blobs], free, limits):
-                offset = 0
-                for k, a, n in pieces:
-                    part = blobs[k][4 * a : 4 * (a + n)]
-                    row = (ids[k], a, n, zlib.crc32(part), len(blobs[k]) // 4, number, offset, a + n - max(a, min(free[k], a + n)), np.frombuffer(part, "<u4").astype("i4") if with_ids else None)
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
-                    offset += n
-                number += 1
-            names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens"] + ["ids"] * with_ids
-            arrays = [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:8])] + [pa.array(columns[8], pa.list_(pa.int32()))] * with_ids
+            columns: list[list] = [[] for _ in range(10)]
+            for b in bins([len(b) // 4 for b in blobs], free, limits):
+                total = sum(n for _, _, n in b)
+                for pieces in shares(b, total, limits.tokens):
+                    offset = 0
+                    for k, a, n in pieces:
+                        part = blobs[k][4 * a : 4 * (a + n)]
+                        loss = a + n - max(a, min(free[k], a + n))
+                        own = np.frombuffer(part, "<u4").astype("i4") if with_ids else None
+                        row = (ids[k], a, n, zlib.crc32(part), len(blobs[k]) // 4, number, offset, loss, total, own)
+                        for column, value in zip(columns, row, strict=True):
+                            column.append(value)
+                        offset += n
+                    number += 1
+            arrays = [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:9])]
+            arrays += [pa.array(columns[9], pa.list_(pa.int32()))] * with_ids
             ids, blobs, free, held = [], [], [], 0
             return pa.RecordBatch.from_arrays(arrays, names)
 
         end = np.array([end_id], "<u4").tobytes()
+        own = encoder(path)
         for batch in batches:
-            id_type = batch.column("_id").type
-            for i in range(0, batch.num_rows, 512):
-                piece = batch.slice(i, 512)
-                own = encoder(path, False)
-                found = own.encode(texts(piece, "_text"))
-                before = own.encode(texts(piece, "_prompt")) if prompt_col else [b""] * len(found)
-                for doc, p, b in zip(piece.column("_id").to_pylist(), before, found, strict=True):
+            id_type = batch.column("id").type
+            for piece in slices(batch, "text"):
+                found = own.encode(texts(piece, "text"))
+                before = own.encode(texts(piece, "prompt")) if prompt_col else [b""] * len(found)
+                for doc, p, b in zip(piece.column("id").to_pylist(), before, found, strict=True):
                     ids.append(doc)
                     blobs.append(p + b + end)
-                    free.append(len(p) // 4)
+                    free.append(len(p) // 4 if prompt_col else min(lead, len(blobs[-1]) // 8))
                     held += len(blobs[-1]) // 4
                     if len(ids) >= BLOCK_ROWS or held >= BLOCK_IDS:
                         yield block()
         if ids:
             yield block()
 
-    schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long" + ", ids array<int>" * with_ids
+    schema = ", ".join([f"`{names[0]}` {kind}", *(f"{n} long" for n in numbers)] + ["ids array<int>"] * with_ids)
     return rows.mapInArrow(run, schema)
 
 
+#: Of the query below and of the pipeline: a document's first tokens are its prompt, and the limit on loss leaves room
+#: for one prompt in each sequence.
+LEAD = 64
+LIMITS = Limits(tokens=2048, segments=64, loss=2048 - LEAD)
+
+
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` with the 50k byte vocabulary and end id 1."""
-    return pack_texts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=1)
+    """``documents`` with the 50k byte vocabulary and end id 1, under ``LIMITS``."""
+    return pack_texts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 1, LIMITS, lead=LEAD)

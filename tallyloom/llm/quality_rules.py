@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shielded, table
 
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
@@ -23,47 +23,62 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FEATURES = ["symbols_per_word", "dup_line_share", "repeat_share", "upper_share", "word_length", "exclaim_per_word", "words_per_line"]
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct ``_q``: the five counts of the base and the features. Null texts have no words.
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-    Rows of 3-word windows are compared by 64-bit hashes within their text.
+
+def statistics(inner: DataFrame, text: str) -> DataFrame:
+    """A shielded table with a struct ``q``: the five counts of the base and the features. Null texts have no words.
+
+    Rows of 3-word windows are compared by 64-bit hashes within their text. Work grows as n log n with a text's length.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = docs.withColumn("_t", text)
-    out = out.withColumn("_w", F.regexp_extract_all("_t", F.lit(f"[^{SPACE}]+"), F.lit(0)))
-    out = out.withColumn("_l", F.filter(F.split("_t", "\n"), lambda line: line.rlike(f"[^{SPACE}]")))
-    hashed = F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))
-    out = out.withColumn("_h", F.when(F.size("_w") >= 3, hashed).otherwise(F.array().cast("array<bigint>")))
+    out = inner.withColumn("t", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    out = out.withColumn("w", F.regexp_extract_all("t", F.lit(f"[^{SPACE}]+"), F.lit(0)))
+    out = out.withColumn("l", F.filter(F.split("t", "\n"), lambda line: line.rlike(f"[^{SPACE}]")))
+    window = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))
+    hashed = F.transform(F.sequence(F.lit(0), F.size("w") - 3), window)
+    out = out.withColumn("h", F.when(F.size("w") >= 3, hashed).otherwise(F.array().cast("array<bigint>")))
     # equal windows stand side by side once sorted
-    out = out.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
-    beside = F.filter("_s", lambda x, j: (x["h"] == F.get("_s", j + 1)["h"]) | (x["h"] == F.get("_s", F.greatest(j - 1, F.lit(0)))["h"]) & (j > 0))
-    out = out.withColumn("_p", F.sort_array(F.transform(beside, lambda x: x["i"])))
-    covered = F.aggregate(F.transform("_p", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("_p", j + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
+    numbered = F.sort_array(F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    out = out.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), numbered).otherwise(none))
+    after = lambda x, j: x["h"] == F.get("s", j + 1)["h"]
+    before = lambda x, j: (x["h"] == F.get("s", F.greatest(j - 1, F.lit(0)))["h"]) & (j > 0)
+    beside = F.filter("s", lambda x, j: after(x, j) | before(x, j))
+    out = out.withColumn("p", F.sort_array(F.transform(beside, lambda x: x["i"])))
+    steps = F.transform("p", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("p", j + 1) - p, F.lit(3))))
+    covered = F.aggregate(steps, F.lit(0), lambda a, x: a + x)
     size = lambda c: F.size(c).cast("long")
+    dropped = lambda symbols: F.length("t") - F.length(F.translate("t", symbols, ""))
     counts = {
-        "n_words": size("_w"),
-        "word_chars": F.length(F.regexp_replace("_t", f"[{SPACE}]+", "")).cast("long"),
-        "n_symbols": (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": size("_l") - size(F.array_distinct("_l")),
+        "n_words": size("w"),
+        "word_chars": F.length(F.regexp_replace("t", f"[{SPACE}]+", "")).cast("long"),
+        "n_symbols": dropped(SYMBOLS).cast("long"),
+        "n_dup_lines": size("l") - size(F.array_distinct("l")),
         "n_repeat_words": covered.cast("long"),
     }
-    more = {
-        "_lines": size("_l"),
-        "_upper": F.length("_t") - F.length(F.translate("_t", UPPER, "")),
-        "_exclaim": F.length("_t") - F.length(F.translate("_t", "!", "")),
-    }
-    out = out.withColumn("_c", F.struct(*(v.alias(k) for k, v in (counts | more).items())))
-    c, per = F.col("_c"), lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    more = {"lines": size("l"), "upper": dropped(UPPER), "exclaim": dropped("!")}
+    out = out.withColumn("c", F.struct(*(v.alias(k) for k, v in (counts | more).items())))
+    c, per = F.col("c"), lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     features = {
         "symbols_per_word": per(c["n_symbols"], c["n_words"]),
-        "dup_line_share": per(c["n_dup_lines"], c["_lines"]),
+        "dup_line_share": per(c["n_dup_lines"], c["lines"]),
         "repeat_share": per(c["n_repeat_words"], c["n_words"]),
-        "upper_share": per(c["_upper"], c["word_chars"]),
+        "upper_share": per(c["upper"], c["word_chars"]),
         "word_length": per(c["word_chars"], c["n_words"]),
-        "exclaim_per_word": per(c["_exclaim"], c["n_words"]),
-        "words_per_line": per(c["n_words"], c["_lines"]),
+        "exclaim_per_word": per(c["exclaim"], c["n_words"]),
+        "words_per_line": per(c["n_words"], c["lines"]),
     }
-    return out.withColumn("_q", F.struct(*(c[k].alias(k) for k in counts), *(v.cast("double").alias(k) for k, v in features.items()))).drop("_t", "_w", "_l", "_h", "_s", "_p", "_c")
+    both = [*(c[k].alias(k) for k in counts), *(v.cast("double").alias(k) for k, v in features.items())]
+    return out.withColumn("q", F.struct(*both))
+
+
+def with_statistics(docs: DataFrame, text_col: str = "text", stats_as: str = "statistics") -> DataFrame:
+    """``docs`` with a struct of the five counts and the features of every whole text; null texts count as empty.
+
+    A column of ``docs`` named like the output is kept with ``_input`` behind its name. No rows: no rows.
+    """
+    inner, names, back = shielded(docs, [stats_as])
+    return statistics(inner, names[text_col]).select(*back, F.col("q").alias(stats_as))
 
 
 @dataclass(frozen=True)
@@ -133,21 +148,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     The driver gets counts of cells, at most one for each sample row. Null ids and labels are left out. An
     id with several labels counts as its least; one with several texts counts each. No rows with both labels: no rules.
     """
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"), F.xxhash64(id_col).alias("_r"))
+    usable = F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)
+    known = labels.where(usable).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"), F.xxhash64(id_col).alias("_r"))
     # hashes below a bound that lets a fifth more than the sample through
     share = min(1.0, 1.2 * max_rows / max(1, known.count()))
-    sample = known.where(F.col("_r") <= min(2**63 - 1, int(-(2**63) + share * 2.0**64))).groupBy("_id", "_r").agg(F.min("_y").alias("_y")).orderBy("_r", "_id").limit(max_rows)
+    low = known.where(F.col("_r") <= min(2**63 - 1, int(-(2**63) + share * 2.0**64)))
+    sample = low.groupBy("_id", "_r").agg(F.min("_y").alias("_y")).orderBy("_r", "_id").limit(max_rows)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id")
-    # spread over tasks: text columns of few rows in many files
-    found = with_statistics(rows, "_text").select("_y", F.pmod(F.shiftright("_r", 7), F.lit(2)).cast("int").alias("_half"), *(F.col(f"_q.{f}").alias(f) for f in FEATURES)).persist()
+    half = F.pmod(F.shiftright("_r", 7), F.lit(2)).cast("int").alias("_half")
+    found = with_statistics(rows, "_text", "_q").select("_y", half, *(F.col(f"_q.{f}").alias(f) for f in FEATURES)).persist()
     try:
         marks = [k / bins for k in range(1, bins)]
         # quantiles of each class: thresholds lie where either is dense
-        got = [r for r in found.groupBy("_y").agg(*(F.percentile_approx(f, marks, 1000).alias(f) for f in FEATURES)).collect()]
+        got = found.groupBy("_y").agg(*(F.percentile_approx(f, marks, 1000).alias(f) for f in FEATURES)).collect()
         if {r["_y"] for r in got} != {0, 1}:
             return []
         cuts = [sorted({v for r in got for v in r[f]}) for f in FEATURES]
-        binned = found.select("_y", "_half", *(sum((F.col(f) > c).cast("int") for c in cut).alias(f) for f, cut in zip(FEATURES, cuts, strict=True)))
+        bin_of = lambda f, cut: sum((F.col(f) > c).cast("int") for c in cut)
+        binned = found.select("_y", "_half", *(bin_of(f, cut).alias(f) for f, cut in zip(FEATURES, cuts, strict=True)))
         cells = binned.groupBy("_half", *FEATURES).agg(F.sum(1 - F.col("_y")).alias("bad"), F.sum("_y").alias("good")).collect()
     finally:
         found.unpersist()
@@ -167,16 +185,28 @@ def verdict(rules: list[Rule], stats: Column) -> tuple[Column, Column]:
     return number, number == 0
 
 
-def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """``docs`` with struct ``quality_report``: counts, base_failed, rule, kept. Rows are kept as they are."""
-    out = with_statistics(docs, text_col)
-    q = F.col("_q")
+def judge(
+    docs: DataFrame,
+    rules: list[Rule],
+    text_col: str = "text",
+    min_words: int = 50,
+    max_repeat_percent: int = 50,
+    report_as: str = "quality_report",
+) -> DataFrame:
+    """``docs`` with a struct: counts, base_failed, rule, kept, from every whole text.
+
+    Null texts count as empty. Rows are kept as they are: repeated ones get equal reports. A column of ``docs`` named
+    like the output is kept with ``_input`` behind its name; no other is touched. No rows: no rows.
+    """
+    inner, names, back = shielded(docs, [report_as])
+    out = statistics(inner, names[text_col])
+    q = F.col("q")
     failed = (q["n_words"] < min_words) | (100 * q["n_repeat_words"] > max_repeat_percent * q["n_words"])
     rule, kept = verdict(rules, q)
     # not deterministic for the optimizer: a filter on the report then stays above it, else statistics would be computed for it again
     kept = kept & (F.monotonically_increasing_id() >= 0)
-    counts = [q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    return out.withColumn("quality_report", F.struct(*counts, failed.alias("base_failed"), rule.alias("rule"), (~failed & kept).alias("kept"))).drop("_q")
+    report = [*(q[c].alias(c) for c in COUNTS), failed.alias("base_failed"), rule.alias("rule"), (~failed & kept).alias("kept")]
+    return out.select(*back, F.struct(*report).alias(report_as))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

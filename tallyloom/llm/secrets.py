@@ -9,10 +9,12 @@ need less evidence; tokens that aren't rejected are reported as ``random``. All
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shielded, table
 
 #: Fixed by the contract, in order of kind. Least lengths: of group 2, of the match, of the match.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -29,24 +31,55 @@ def none() -> Column:
     return F.array().cast(SPANS)
 
 
-def located(text: Column, pattern: str, kind: int) -> Column:
-    """Structs (start, kind, end, match) of leftmost non-overlapping matches, in code points.
+#: Longer arrays are gone through in blocks of about the root of their size, as an array is copied at each step.
+SHORT = 64
 
-    Pieces between matches and the matches themselves alternate, so that lengths add up to positions.
+
+def with_running(df: DataFrame, name: str, items: str, value: str, join: Callable[[Column, Column], Column]) -> DataFrame:
+    """``df`` with an array of integers: for each of ``items``, ``join`` over the ``value`` of those before it, from 0.
+
+    join: an associative function of two integers. Each step copies the results so far, so a long array is cut
+    into blocks: n to the power of 1.5 instead of 2. What is used more than once is a column of its own, and so evaluated once.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m")))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    empty = F.array().cast("array<int>")
+
+    def before(part: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+        step = lambda acc, x: F.struct(
+            join(acc["at"], x[value]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+        )
+        return F.aggregate(part, begin, step)
+
+    width = F.when(F.size(items) <= SHORT, SHORT).otherwise(F.ceil(F.sqrt(F.size(items)))).cast("int")
+    firsts = F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), width)
+    out = df.withColumn(f"{name}1", F.transform(firsts, lambda i: before(F.slice(items, i, width))))
+    # where each block starts, from the blocks before it
+    fold = lambda b: F.aggregate(F.slice(f"{name}1", F.lit(1), b), F.lit(0), lambda acc, x: join(acc, x["at"]))
+    out = out.withColumn(f"{name}2", F.transform(f"{name}1", lambda _, b: fold(b)))
+    shifted = F.zip_with(f"{name}1", f"{name}2", lambda d, s: F.transform(d["out"], lambda x: join(s, x)))
+    return out.withColumn(name, F.flatten(shifted))
+
+
+FOUND = "array<struct<start:int,kind:int,end:int,match:string>>"
 
-    def step(acc, s):
-        begin = acc["at"] + s["g"]
-        end = begin + F.length(s["m"])
-        one = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), s["m"].alias("match"))
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(s["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(steps, start, step)["out"]).otherwise(empty)
+def with_located(df: DataFrame, name: str, text: str, pattern: str, kind: int, only: Column) -> DataFrame:
+    """``df`` with structs (start, kind, end, match) of leftmost non-overlapping matches, in code points; none unless ``only``.
+
+    Pieces between matches and the matches themselves alternate, so that lengths add up to positions.
+    """
+    none = F.array().cast("array<struct<g:int,n:int,step:int,match:string>>")
+    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    pair = lambda g, m: F.struct(
+        F.length(g).alias("g"), F.length(m).alias("n"), (F.length(g) + F.length(m)).alias("step"), m.alias("match")
+    )
+    steps = F.filter(F.zip_with(F.split(text, pattern), found, pair), lambda s: s["match"].isNotNull())
+    out = df.withColumn(f"{name}s", F.when(only, steps).otherwise(none))
+    out = with_running(out, f"{name}b", f"{name}s", "step", lambda a, b: a + b)
+    span = lambda s, b: F.struct(
+        (b + s["g"]).alias("start"), F.lit(kind).alias("kind"), (b + s["g"] + s["n"]).alias("end"), s["match"].alias("match")
+    )
+    return out.withColumn(name, F.zip_with(f"{name}s", f"{name}b", span).cast(FOUND))
 
 
 def tail(z: Column) -> Column:
@@ -131,35 +164,64 @@ def tested(s: Column) -> Column:
     return F.struct(p.alias("p"), s["start"].alias("start"), s["end"].alias("end"), n.alias("n"))
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", min_token: int = MIN_TOKEN, false_discovery: float = FALSE_DISCOVERY) -> DataFrame:
-    """``docs`` with ``secret_base`` and ``secret_spans``: arrays of (start, kind, end), ordered; kind counts KINDS from 0.
-
-    Null texts are empty. Random tokens that overlap a base span aren't added.
-    """
-    out = docs.withColumn("_t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    low = F.lower("_t")
+def scanned(inner: DataFrame, text: str, min_token: int, false_discovery: float) -> DataFrame:
+    """A shielded table with ``base`` and ``spans``."""
+    out = inner.withColumn("t", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    low = F.lower("t")
     # plain searches spare most texts the patterns
     worded = low.contains("pass") | low.contains("secret") | low.contains("token") | low.contains("api")
-    absent = F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>")
-    out = out.withColumn("_a", F.when(worded, F.filter(located(F.col("_t"), ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 12)).otherwise(absent))
-    out = out.withColumn("_k", F.when(F.col("_t").contains("AKIA"), F.filter(located(F.col("_t"), ACCESS, 1), lambda s: s["end"] - s["start"] >= 18)).otherwise(absent))
+    out = with_located(out, "a", "t", ASSIGN, 0, worded)
+    out = with_located(out, "k", "t", ACCESS, 1, F.col("t").contains("AKIA"))
     # a run of 16 or more is found as it is among all runs
-    out = out.withColumn("_x", F.when(F.col("_t").rlike("[0-9a-f]{16}"), located(F.col("_t"), "[0-9a-f]{16,}", 2)).otherwise(absent))
-    out = out.withColumn("_r", F.when(F.col("_t").rlike(f"(?=[A-Za-z0-9+/_-]{{{min_token}}})"), located(F.col("_t"), TOKEN % min_token, 3)).otherwise(absent))
+    out = with_located(out, "x", "t", "[0-9a-f]{16,}", 2, F.col("t").rlike("[0-9a-f]{16}"))
+    out = with_located(out, "r", "t", TOKEN % min_token, 3, F.col("t").rlike(f"(?=[A-Za-z0-9+/_-]{{{min_token}}})"))
+    secret = F.filter("a", lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 12)
+    access = F.filter("k", lambda s: s["end"] - s["start"] >= 18)
     plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
-    out = out.withColumn("secret_base", F.sort_array(F.transform(F.concat("_a", "_k", "_x"), plain)))
-    free = F.filter("_r", lambda s: ~F.exists("secret_base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
-    out = out.withColumn("_m", F.transform(F.filter(F.transform(free, typed), lambda t: t["name"].isNotNull()), placed))
-    out = out.withColumn("_p", F.sort_array(F.transform(F.transform("_m", counted), tested)))
+    out = out.withColumn("base", F.sort_array(F.transform(F.concat(secret, access, "x"), plain)))
+    # a token meets blocks of base spans, and the spans of those blocks alone that it may overlap
+    width = F.greatest(F.ceil(F.sqrt(F.size("base"))).cast("int"), F.lit(1))
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.size("base"), F.lit(1)), width), lambda i: F.slice("base", i, width))
+    block = lambda p: F.struct(
+        F.array_min(p["start"]).alias("start"), F.array_max(p["end"]).alias("end"), p.alias("spans")
+    )
+    out = out.withColumn("blocks", F.transform(parts, block))
+    meets = lambda s, b: (b["start"] < s["end"]) & (b["end"] > s["start"])
+    taken = lambda s: F.exists("blocks", lambda b: meets(s, b) & F.exists(b["spans"], lambda x: meets(s, x)))
+    free = F.filter("r", lambda s: ~F.coalesce(taken(s), F.lit(False)))
+    out = out.withColumn("m", F.transform(F.filter(F.transform(free, typed), lambda t: t["name"].isNotNull()), placed))
+    out = out.withColumn("p", F.sort_array(F.transform(F.transform("m", counted), tested)))
     # step-up: the largest rank whose weighted p-value is within rate * rank / count; weights are lengths over their mean
-    mean = summed(F.transform("_p", lambda t: t["n"])) / F.size("_p")
-    out = out.withColumn("_v", F.sort_array(F.transform("_p", lambda t: F.struct((t["p"] * mean / t["n"]).alias("v"), t["start"].alias("start"), t["end"].alias("end")))))
-    within = F.filter(F.transform("_v", lambda t, i: F.when(t["v"] <= F.lit(false_discovery) * (i + 1) / F.size("_v"), i + 1).otherwise(0)), lambda k: k > 0)
-    out = out.withColumn("_n", F.coalesce(F.array_max(within), F.lit(0)))
-    random = F.transform(F.filter("_v", lambda t, i: i >= F.col("_n")), lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
+    out = out.withColumn("mean", summed(F.transform("p", lambda t: t["n"])) / F.size("p"))
+    mean = F.col("mean")
+    weighted = lambda t: F.struct((t["p"] * mean / t["n"]).alias("v"), t["start"].alias("start"), t["end"].alias("end"))
+    out = out.withColumn("v", F.sort_array(F.transform("p", weighted)))
+    rank = lambda t, i: F.when(t["v"] <= F.lit(false_discovery) * (i + 1) / F.size("v"), i + 1).otherwise(0)
+    out = out.withColumn("n", F.coalesce(F.array_max(F.transform("v", rank)), F.lit(0)))
+    left = F.filter("v", lambda t, i: i >= F.col("n"))
+    random = F.transform(left, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     # not deterministic for the optimizer: a filter on the spans then stays above them, else the battery would run for it again
-    out = out.withColumn("secret_spans", F.sort_array(F.concat("secret_base", F.when((F.size("_v") > 0) & (F.monotonically_increasing_id() >= 0), random).otherwise(none()))))
-    return out.drop("_t", "_a", "_k", "_x", "_r", "_m", "_p", "_v", "_n")
+    more = F.when((F.size("v") > 0) & (F.monotonically_increasing_id() >= 0), random).otherwise(none())
+    return out.withColumn("spans", F.sort_array(F.concat("base", more)))
+
+
+def with_spans(
+    docs: DataFrame,
+    text_col: str = "text",
+    min_token: int = MIN_TOKEN,
+    false_discovery: float = FALSE_DISCOVERY,
+    base_as: str = "secret_base",
+    spans_as: str = "secret_spans",
+) -> DataFrame:
+    """``docs`` with arrays of (start, kind, end), ordered, of every whole text: the base's, and all; kind counts KINDS from 0.
+
+    Null texts are empty. Random tokens that overlap a base span aren't added. Rows are kept as they are: repeated ones
+    get equal spans. A column of ``docs`` named like an output is kept with ``_input`` behind its name; no
+    other is touched. No rows: no rows. Work on a text grows with its matches to the power of 1.5.
+    """
+    inner, names, back = shielded(docs, [base_as, spans_as])
+    out = scanned(inner, names[text_col], min_token, false_discovery)
+    return out.select(*back, F.col("base").alias(base_as), F.col("spans").alias(spans_as))
 
 
 def listed(spans: str) -> Column:
@@ -168,20 +230,28 @@ def listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat(F.get(kinds, s["kind"]), F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
 
 
-def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
-    """``docs`` whose spans are replaced by ``mark``, overlapping ones by one; other texts, null too, stay as they are."""
-    out = with_spans(docs, text_col, **options)
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+def redacted(
+    docs: DataFrame,
+    text_col: str = "text",
+    mark: str = "[SECRET]",
+    min_token: int = MIN_TOKEN,
+    false_discovery: float = FALSE_DISCOVERY,
+) -> DataFrame:
+    """``docs`` whose spans are replaced by ``mark``, overlapping ones by one; other texts, null too, stay as they are.
 
-    def step(acc, s):
-        gap = text.substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        parts = F.when(s["start"] >= acc["at"], F.concat(acc["parts"], F.array(gap, F.lit(mark)))).otherwise(acc["parts"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), parts.alias("parts"))
-
-    out = out.withColumn("_cut", F.when(F.size("secret_spans") > 0, F.aggregate("secret_spans", start, step)))
-    clean = F.when(F.col("_cut").isNull(), text).otherwise(F.concat(F.array_join("_cut.parts", ""), text.substr(F.col("_cut.at") + 1, F.length(text))))
-    return out.withColumn(text_col, clean).drop("_cut", "secret_base", "secret_spans")
+    All columns stay, whatever their names; a text that isn't a string becomes one. No rows: no rows.
+    """
+    inner, names, back = shielded(docs, [])
+    out = scanned(inner, names[text_col], min_token, false_discovery)
+    # a span is cut out from where those before it end; one that starts before that is part of their cut
+    out = with_running(out, "before", "spans", "end", F.greatest)
+    piece = lambda s, b: F.concat(F.col("t").substr(b + 1, s["start"] - b), F.lit(mark))
+    apart = lambda s, b: F.when(s["start"] >= b, piece(s, b)).otherwise(F.lit(""))
+    out = out.withColumn("cut", F.array_join(F.zip_with("spans", "before", apart), ""))
+    last = F.array_max(F.transform("spans", lambda s: s["end"]))
+    clean = F.concat("cut", F.col("t").substr(last + 1, F.length("t")))
+    text = F.when(F.size("spans") > 0, clean).otherwise(F.col(names[text_col]).cast("string"))
+    return out.select(*(text.alias(c) if c == text_col else b for c, b in zip(docs.columns, back, strict=True)))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

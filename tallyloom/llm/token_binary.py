@@ -18,49 +18,87 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, local_path, publish, shared_dir, table, texts, written
+from .common import discard, filesystem, local_path, publish, shared_dir, slices, table, texts, written
 from .tokens import encoder, tokenizer_path
 
 NULL_ID = -(2**63)
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, words: bool = True, width: int = 4, id_col: str = "doc_id", text_col: str = "text", docs_per_part: int = 4096) -> DataFrame:
+#: Rows, and bytes of ids, of one part's files; a task that gets more writes several parts.
+PART_DOCS, PART_BYTES = 4096, 1 << 25
+
+
+def write_tokens(
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str,
+    end_id: int,
+    width: int = 4,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    docs_per_part: int = PART_DOCS,
+    bytes_per_part: int = PART_BYTES,
+) -> DataFrame:
     """Encode every whole text, append ``end_id``, write in ascending order of ``id_col``; return the bases.
 
-    Null and empty texts are the end id alone. A null id comes first. Repeated rows are
-    all written, side by side, ordered by text. Other columns are ignored. No rows: no parts.
-    Parts are ranges of ids that hold about ``docs_per_part`` rows each.
+    Null and empty texts are the end id alone. A null id comes first. Repeated rows and ids are
+    all written, side by side, by a hash of the text and then the text; so neither rows without id nor those of one id
+    gather in a task. Other columns are ignored. No rows: no parts. An id that ``width`` bytes
+    don't hold raises. A part closes at ``docs_per_part`` rows or ``bytes_per_part`` bytes: a task holds
+    no more than that and one text.
     """
     if width not in (2, 4):
         raise ValueError("width is 2 or 4")
-    parts = max(1, -(-docs.count() // docs_per_part))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    ranged = rows.repartitionByRange(parts, "_id").sortWithinPartitions("_id", "_text")
+    tasks = max(1, -(-docs.count() // docs_per_part))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text")
+    )
+    ranged = rows.repartitionByRange(tasks, "id", "hash").sortWithinPartitions("id", "hash", "text")
     path = tokenizer_path(tokenizer)
     kind = f"<u{width}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, sizes, doc_ids, blobs = TaskContext.get().partitionId(), [], [], []
+        part, sizes, doc_ids, blobs = TaskContext.get().partitionId() << 24, [], [], []
         end = np.array([end_id], "<u4").tobytes()
+
+        def close() -> pa.RecordBatch:
+            nonlocal part, sizes, doc_ids, blobs
+            publish(folder, f"{part}.bin", blobs)
+            ends = np.concatenate([[0], np.cumsum(sizes, dtype="<u8")]).astype("<u8")
+            publish(folder, f"{part}.off", ends.tobytes())
+            publish(folder, f"{part}.doc", np.array(doc_ids, "<i8").tobytes())
+            done = [pa.array([x], pa.int64()) for x in (part, len(sizes), int(ends[-1]))]
+            part, sizes, doc_ids, blobs = part + 1, [], [], []
+            return pa.RecordBatch.from_arrays(done, ["part", "docs", "tokens"])
+
+        held, own = 0, encoder(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                piece = batch.slice(i, 1024)
-                for blob in encoder(path, words).encode(texts(piece, "_text")):
+            for piece in slices(batch, "text"):
+                for doc, blob in zip(piece["id"].to_pylist(), own.encode(texts(piece, "text")), strict=True):
                     blob += end
                     sizes.append(len(blob) // 4)
-                    blobs.append(blob if width == 4 else np.frombuffer(blob, "<u4").astype(kind).tobytes())
-                doc_ids += piece.column("_id").to_pylist()
+                    if width == 2:
+                        ids = np.frombuffer(blob, "<u4")
+                        if ids.max() > 0xFFFF:
+                            raise ValueError("an id needs more than 16 bits")
+                        blob = ids.astype(kind).tobytes()
+                    blobs.append(blob)
+                    doc_ids.append(doc)
+                    held += len(blob)
+                    if len(sizes) >= docs_per_part or held >= bytes_per_part:
+                        held = 0
+                        yield close()
         if sizes:
-            publish(folder, f"{part}.bin", blobs)
-            publish(folder, f"{part}.off", np.concatenate([[0], np.cumsum(sizes, dtype="<u8")]).astype("<u8").tobytes())
-            publish(folder, f"{part}.doc", np.array(doc_ids, "<i8").tobytes())
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "docs": pa.array([len(sizes)], pa.int64()), "tokens": pa.array([sum(sizes)], pa.int64())})
+            yield close()
 
-    counts = written(ranged.mapInArrow(write, "part int, docs long, tokens long"), "token-counts")
-    # one row a part: the window holds rows / docs_per_part numbers
+    counts = written(ranged.mapInArrow(write, "part long, docs long, tokens long"), "token-counts")
+    # one row a part: the window holds a number for every few thousand rows
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("*", F.coalesce(F.sum("docs").over(before), F.lit(0)).alias("first_doc"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first_token"), F.lit(width).alias("width"))
+    sums = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"first_{n}") for c, n in (("docs", "doc"), ("tokens", "token"))]
+    bases = counts.select("*", *sums, F.lit(width).alias("width"))
     bases.write.parquet(f"{folder}/bases")
+    discard(counts)
     return docs.sparkSession.read.schema(bases.schema).parquet(f"{folder}/bases")
 
 
@@ -74,27 +112,28 @@ def open_part(folder: str, name: str, kind: str) -> np.ndarray:
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each document from the files: doc_id, start (ids of all documents before), n_tokens, ids_crc32."""
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 p, kind = row["part"], f"<u{row['width']}"
-                ids, offsets, doc_ids = (open_part(folder, f"{p}.{x}", k) for x, k in (("bin", kind), ("off", "<u8"), ("doc", "<i8")))
+                files = (("bin", kind), ("off", "<u8"), ("doc", "<i8"))
+                ids, offsets, doc_ids = (open_part(folder, f"{p}.{x}", k) for x, k in files)
                 for i in range(0, len(doc_ids), 4096):
                     ends = offsets[i : i + 4097].astype("i8")
                     crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([None if x == NULL_ID else x for x in doc_ids[i : i + 4096].tolist()], pa.int64()), "start": pa.array(ends[:-1] + row["first_token"], pa.int64()), "n_tokens": pa.array(np.diff(ends), pa.int64()), "ids_crc32": pa.array(crcs, pa.int64())})
+                    docs = [None if x == NULL_ID else x for x in doc_ids[i : i + 4096].tolist()]
+                    columns = [docs, ends[:-1] + row["first_token"], np.diff(ends), crcs]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # a task for each part: the list of parts is dealt out one by one
+    # the list of parts is dealt out one by one
     bases = spark.read.parquet(f"{folder}/bases")
-    most = bases.agg(F.max("part")).first()[0]
-    if most is None:
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    return bases.repartitionById(most + 1, F.col("part")).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return bases.repartition(max(1, min(bases.count(), 1 << 16))).mapInArrow(read, schema)
 
 
 def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with the 49k word vocabulary and end id 2; ids below 2**16 take 16 bits."""
     folder = shared_dir(spark, "tokens")
-    write_tokens(table(spark, sf_dir, "documents"), folder, "word_bpe_49k.json", end_id=2, words=True, width=2)
+    write_tokens(table(spark, sf_dir, "documents"), folder, "word_bpe_49k.json", end_id=2, width=2)
     return read_tokens(spark, folder)

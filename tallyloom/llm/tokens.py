@@ -7,6 +7,7 @@ equal those for whole texts, as the tests check.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -15,10 +16,14 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 
+from .common import worker_state
+
 #: White space besides the six ASCII ones, and characters on which definitions of white space differ.
 RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 #: A space after white space and not before a word: "\\s+(?!\\S)" may join it with what stands before.
 JOINED_SPACE = re.compile(r"\s\x20(?=\s|\Z)")
+#: Runs of line ends that don't stand between two words, or are longer than two.
+AWKWARD_LINES = re.compile(r"[^\S\n]\n|\n[^\S\n]|\n{3}|\A\n|\n\Z")
 
 
 def tokenizer_path(name_or_path: str) -> str:
@@ -28,60 +33,119 @@ def tokenizer_path(name_or_path: str) -> str:
 
 MARKS = [".", ",", ";", ":", "!", "?"]
 #: Pieces that the library encodes in one call's text, with a border word between them.
-GROUP = 256
+GROUP = 64
+#: The two ways of splitting for which the cuts below are certain, as tokenizer files state them. Fixed values.
+WORDS = (
+    {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+SPACED = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+
+
+def splitting(path: str) -> str | None:
+    """How a tokenizer file splits: "words" (white space is dropped), "spaced" (words take the space before them), or
+    None, an unknown way, for which texts are encoded whole."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    if found["model"]["type"] != "BPE" or found["model"].get("dropout"):
+        return None
+    form = (found.get("normalizer"), found.get("pre_tokenizer"))
+    return "words" if form == WORDS else "spaced" if form == SPACED else None
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    words: the tokenizer drops white space, so words are cut at it; else words take the space before them.
-    limit: entries of the cache, which is emptied when full.
+    limit: entries of the cache, which is emptied when full. A tokenizer file that splits in an unknown way, or has no border
+    word, gets whole texts.
     """
 
-    def __init__(self, path: str, words: bool, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words, self.limit, self.cache = words, limit, {}
+        self.kind, self.limit, self.cache = splitting(path), limit, {}
+        self.words = self.kind == "words"
         #: A word of one id that stands between pieces.
-        self.border = next((w, i[0]) for w in (" zurich", " Zurich", " January") if len(i := self.tokenizer.encode(w, add_special_tokens=False).ids) == 1)
-
+        ids = ((w, self.tokenizer.encode(w, add_special_tokens=False).ids) for w in (" zurich", " Zurich", " January"))
+        self.border = next(((w, i[0]) for w, i in ids if len(i) == 1), None)
+        if self.border is None:
+            self.kind = None
         self.mark = dict(zip(MARKS, self.whole(MARKS), strict=True))
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def led(self, pieces: list[str]) -> list[str]:
+        """Pieces as they stand in a text: a space goes before each, unless words are cut or a line end leads it."""
+        return pieces if self.words else [p if p[0] == "\n" else " " + p for p in pieces]
 
     def pieces(self, cold: list[str]) -> list[bytes]:
-        """Ids of each piece, with its leading space unless words are cut; many at a time, which costs the library far less.
+        """Ids of each piece; many at a time, which costs the library less.
 
         Border words split off what they stand between. A group whose pieces hold the border's id
         themselves shows too many of it and is encoded piece by piece.
         """
-        space, out = "" if self.words else " ", []
+        out = []
         word, mark = self.border
-        groups = [cold[i : i + GROUP] for i in range(0, len(cold), GROUP)]
-        joiner = word + " "
-        for group, e in zip(groups, self.tokenizer.encode_batch([space + joiner.join(g) for g in groups], add_special_tokens=False), strict=True):
+        joiner = word + " " if self.words else word
+        groups = [self.led(cold[i : i + GROUP]) for i in range(0, len(cold), GROUP)]
+        found = self.tokenizer.encode_batch_fast([joiner.join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, found, strict=True):
             ids = np.array(e.ids, "<u4")
             at = np.flatnonzero(ids == mark)
             if len(at) != len(group) - 1:
-                out += self.whole([space + p for p in group])
+                out += self.whole(group)
                 continue
             data, ends = ids.tobytes(), (at * 4).tolist()
             out += [data[a:b] for a, b in zip([0, *(x + 4 for x in ends)], [*ends, len(data)], strict=True)]
         return out
 
+    def cut(self, text: str) -> list[str] | None:
+        """Pieces whose ids, one after the other, are the text's; None where no cut is certain."""
+        if self.kind is None or RARE_SPACE.search(text):
+            return None
+        if self.words:
+            return text.split()
+        if " \n" in text or JOINED_SPACE.search(text):
+            return None
+        # a line end between words is split off before and behind it: it leads the piece after it
+        return (text if AWKWARD_LINES.search(text) else text.replace("\n", " \n")).split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """texts: a bounded batch."""
         if len(self.cache) > self.limit:
             self.cache.clear()
         cache = self.cache
-        cut = [None if RARE_SPACE.search(t) or not self.words and JOINED_SPACE.search(t) else t.split() if self.words else t.split(" ") for t in texts]
-        cold = list(set(chain.from_iterable(c if self.words else c[1:] for c in cut if c)).difference(cache))
-        # letters and one mark after them are split by every tokenizer here: the word and the mark are encoded once each
-        marked = [p for p in cold if p[-1:] in MARKS and p[:-1].isalpha()]
+        cut = [self.cut(t) for t in texts]
+        first = 0 if self.words else 1
+        cold = list(set(chain.from_iterable(c[first:] for c in cut if c)).difference(cache))
+        if "" in cold:  # white space alone: nothing, or the space that it is
+            cold.remove("")
+            cache[""] = b"" if self.words else self.whole([" "])[0]
+        # letters and one mark after them are split in both ways: the word and the mark are encoded once each
+        marked = [p for p in cold if p[-1:] in MARKS and p[:-1].removeprefix("\n").isalpha()]
         cold = list({p[:-1] for p in marked}.union(set(cold).difference(marked)).difference(cache))
         for i in range(0, len(cold), 100 * GROUP):
             part = cold[i : i + 100 * GROUP]
@@ -95,11 +159,6 @@ class Encoder:
         return [next(rest) if c is None else next(heads) + b"".join(map(cache.__getitem__, c[1:])) for c in cut]
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
-def encoder(path: str, words: bool) -> Encoder:
+def encoder(path: str) -> Encoder:
     """This Python worker's encoder, kept from task to task."""
-    if (path, words) not in _encoders:
-        _encoders[path, words] = Encoder(path, words)
-    return _encoders[path, words]
+    return worker_state(("encoder", path), lambda: Encoder(path))

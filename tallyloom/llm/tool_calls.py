@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import join_by_hot_key, table, written
 
 #: JSON type names and how Spark names such a variant's type.
 TYPES = {"string": "STRING", "integer": "BIGINT", "number": "BIGINT|DECIMAL|DOUBLE|FLOAT", "boolean": "BOOLEAN", "object": "OBJECT", "array": "ARRAY", "null": "VOID"}
@@ -106,25 +106,55 @@ def link(calls: DataFrame, results: DataFrame, needs: DataFrame, schemas: dict[s
     needed). Other columns are ignored.
 
     kind (call or result), status (call: answered, unanswered or repeated; result: linked, orphan or repeated), level
-    (a result's: its call's), valid, faults, message (canonical JSON). Of several calls with one id the first by (seq,
-    name, arguments) counts, of several results the first by (seq, content); others are repeated. Null ids link with nothing. Null
-    arguments are not an object. Empty tables give no rows.
+    (a result's: its call's), valid, faults, message (canonical JSON). Of several calls with one id the first by (conv_id, seq,
+    name, arguments) counts, of several results the first by (conv_id, seq, content); others are repeated, and of equal rows
+    all but one. Null ids link with nothing. Null arguments are not an object. Empty tables give no rows.
+
+    Equal rows are folded and counted before they are joined, and unfolded last. An id that many different rows hold meets its
+    call and result by a bounded broadcast.
     """
-    own = calls.select("conv_id", "call_id", "seq", "name", "arguments")
-    first = lambda df, *rest: df.where("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("conv_id", "seq", *rest)).alias("_first"))
-    first_calls, first_results = first(own, "name", "arguments"), first(results, "content")
-    order = levels(own, needs)
-    # hash joins on ids, which are unique on the right
-    c = own.join(first_calls.withColumnRenamed("_first", "_c"), "call_id", "left").join(first_results.select("call_id", F.lit(True).alias("_answered")), "call_id", "left").join(order, "call_id", "left")
-    mine = F.coalesce(F.struct("conv_id", "seq", "name", "arguments") == F.col("_c"), F.lit(True))
+    key = ["conv_id", "call_id", "seq", "name", "arguments", "content"]
+    absent = F.lit(None).cast("string")
+    own = calls.select("conv_id", "call_id", "seq", "name", "arguments", absent.alias("content"), F.lit(True).alias("is_call"))
+    back = results.select("conv_id", "call_id", "seq", absent.alias("name"), absent.alias("arguments"), "content", F.lit(False).alias("is_call"))
+    rows = written(own.unionByName(back).groupBy(*key, "is_call").agg(F.count("*").alias("copies")), "calls-rows")
+    least = F.struct("conv_id", "seq", "name", "arguments", "content")
+    # the first call and the first result of each id, and the call's level: a row for each id
+    first = lambda call: F.min(F.when(F.col("is_call") == F.lit(call), least))
+    known = rows.where("call_id IS NOT NULL").groupBy("call_id").agg(first(True).alias("call"), first(False).alias("result"))
+    order = levels(rows.where("is_call").select("call_id"), needs)
+    about = written(known.join(order, "call_id", "left"), "calls-about")
+    out = join_by_hot_key(rows, about, "call_id")
+    called, answered = F.col("call").isNotNull(), F.col("result").isNotNull()
+    mine = F.when(F.col("is_call"), least == F.col("call")).otherwise(least == F.col("result"))
+    mine = F.col("call_id").isNull() | mine
+    copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    shown = out.withColumn("copy", F.explode(copies)).withColumn("first", mine & ((F.col("copy") == 1) | F.col("call_id").isNull()))
     wrong = faults(F.col("name"), F.col("arguments"), schemas)
-    call_json = F.to_json(F.try_parse_json(F.concat(F.lit('{"type":"tool_call","id":'), _quoted("call_id"), F.lit(',"name":'), _quoted("name"), F.lit(',"arguments":'), F.coalesce(canonical(F.col("arguments")), _quoted("arguments")), F.lit("}"))))
-    calls_out = c.select("conv_id", "call_id", "seq", F.lit("call").alias("kind"), F.when(~mine, "repeated").when(F.col("_answered"), "answered").otherwise("unanswered").alias("status"), F.col("level"), (F.size(wrong) == 0).alias("valid"), F.array_join(wrong, "; ").alias("faults"), call_json.alias("message"))
-    r = results.select("conv_id", "call_id", "seq", "content").join(first_results.withColumnRenamed("_first", "_r"), "call_id", "left").join(first_calls.select("call_id", F.lit(True).alias("_called")), "call_id", "left").join(order, "call_id", "left")
-    mine = F.coalesce(F.struct("conv_id", "seq", "content") == F.col("_r"), F.lit(True))
-    result_json = F.to_json(F.try_parse_json(F.concat(F.lit('{"type":"tool_result","id":'), _quoted("call_id"), F.lit(',"content":'), _quoted("content"), F.lit("}"))))
-    results_out = r.select("conv_id", "call_id", "seq", F.lit("result").alias("kind"), F.when(F.col("_called").isNull(), "orphan").when(~mine, "repeated").otherwise("linked").alias("status"), F.when(F.col("_called"), F.col("level")).alias("level"), F.col("_called").isNotNull().alias("valid"), F.lit("").alias("faults"), result_json.alias("message"))
-    return calls_out.unionByName(results_out)
+    arguments = F.coalesce(canonical(F.col("arguments")), _quoted("arguments"))
+    call_json = _object(type=F.lit('"tool_call"'), id=_quoted("call_id"), name=_quoted("name"), arguments=arguments)
+    result_json = _object(type=F.lit('"tool_result"'), id=_quoted("call_id"), content=_quoted("content"))
+    call_status = F.when(~F.col("first"), "repeated").when(answered, "answered").otherwise("unanswered")
+    result_status = F.when(~called, "orphan").when(~F.col("first"), "repeated").otherwise("linked")
+    is_call = F.col("is_call")
+    shown = shown.withColumn("wrong", F.when(is_call, wrong).otherwise(F.array().cast("array<string>")))
+    return shown.select(
+        "conv_id",
+        "call_id",
+        "seq",
+        F.when(is_call, "call").otherwise("result").alias("kind"),
+        F.when(is_call, call_status).otherwise(result_status).alias("status"),
+        F.when(is_call | called, F.col("level")).alias("level"),
+        F.when(is_call, F.size("wrong") == 0).otherwise(called).alias("valid"),
+        F.array_join("wrong", "; ").alias("faults"),
+        F.when(is_call, call_json).otherwise(result_json).alias("message"),
+    )
+
+
+def _object(**values: Column) -> Column:
+    """A canonical JSON object of JSON values."""
+    parts = [F.concat(F.lit(f'"{k}":'), v) for k, v in values.items()]
+    return canonical(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
 
 
 def _quoted(name: str) -> Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, raw, table
+from .common import id_name, map_slices, raw, table
 
 #: Fixed by the format.
 PACKET, SYNC, PAT_PID, STREAM_ID, PRIVATE_DATA, CLOCK = 188, 0x47, 0, 0xBD, 0x06, 90_000
@@ -179,27 +179,35 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id, n_bytes, payload_bytes, payload_sha256, tail_crc32 (of the last 16 bytes read back), media_bytes,
     media_sha256, feature (packets, units, continuity faults, first and last timestamp, random-access
     points), points (array of packet and timestamp), and media itself on demand. Rows and ids are kept as
-    they are; equal texts give equal values.
+    they are; equal texts give equal values; no rows: no rows. Texts go through a worker by slices bounded in bytes, so long ones
+    don't add up. Other columns are ignored; an id named like an output has ``_input`` behind its name.
     """
+    point = pa.list_(pa.struct([("packet", pa.int64()), ("pts", pa.int64())]))
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), point, pa.binary()]
+    fields = ["n_bytes long", "payload_bytes long", "payload_sha256 string", "tail_crc32 long", "media_bytes long"]
+    fields += ["media_sha256 string", "feature string", "points array<struct<packet: long, pts: long>>", "media binary"]
+    fields = fields[: 8 + media]
+    names = [f.split(" ", 1)[0] for f in fields]
+    own_id = id_name(id_col, names)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns: list[list] = [[] for _ in range(9)]
-        for data in raw(batch, "_text"):
+        columns: list[list] = [[] for _ in names]
+        for data in raw(batch, "text"):
             payload = data.ljust(max(multiple, -(-len(data) // multiple) * multiple), b" ")
             stored = mux(payload)
             s = demux(stored)
-            feature = f"packets={s.packets};units={len(s.units)};lost={s.lost};pts={min(s.units)}-{max(s.units)};random_access={len(s.points)}"
-            row = (len(data), len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, [{"packet": a, "pts": b} for a, b in s.points], stored if media else None)
-            for column, value in zip(columns, row, strict=True):
+            feature = f"packets={s.packets};units={len(s.units)};lost={s.lost};pts={min(s.units)}-{max(s.units)}"
+            row = [len(data), len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-16:]), len(stored)]
+            row += [hashlib.sha256(stored).hexdigest(), f"{feature};random_access={len(s.points)}"]
+            row.append([{"packet": a, "pts": b} for a, b in s.points])
+            for column, value in zip(columns, [*row, stored][: len(names)], strict=True):
                 column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("packet", pa.int64()), ("pts", pa.int64())])), pa.binary()]
-        names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "points", "media"]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column("_id"), *arrays[: 8 + media]], [id_col, *names[: 8 + media]])
-
-    rows = docs.selectExpr(f"`{id_col}` AS _id", f"CAST(`{text_col}` AS STRING) AS _text")
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, points array<struct<packet: long, pts: long>>" + ", media binary" * media
-    return map_batches(rows, ["_id", "_text"], run, schema)
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
+        return pa.RecordBatch.from_arrays([batch.column("id"), *arrays], [own_id, *names])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    schema = ", ".join([f"`{own_id}` {docs.schema[id_col].dataType.simpleString()}", *fields])
+    return map_slices(rows, "text", run, schema)
 
 
 def op10_mpeg_ts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, join_by_hot_key, publish, shared_dir, table, written
+from .common import discard, filesystem, join_by_hot_key, local_path, publish, shared_dir, slices, table, written
 
 #: Fixed by the seekable format.
 SKIPPABLE, SEEKABLE, ENTRY, FOOTER = 0x184D2A5E, 0x8F92EAB1, struct.Struct("<II"), struct.Struct("<IBI")
@@ -104,7 +104,8 @@ class Reader:
 
     def __init__(self, folder: str, name: str):
         self.store, root = filesystem(folder)
-        self.file, self.index_path = self.store.open_input_file(f"{root}/{name}.warc.zst"), f"{root}/{name}.idx"
+        self.file = self.store.open_input_file(f"{root}/{name}.warc.zst")
+        self.index_path, self.index_uri = f"{root}/{name}.idx", f"{folder}/{name}.idx"
         size = self.file.size()
         count, flags, magic = FOOTER.unpack(self.at(size - FOOTER.size, FOOTER.size))
         if magic != SEEKABLE:
@@ -132,30 +133,59 @@ class Reader:
 
     def find(self, name: str) -> tuple[dict[str, str], bytes] | None:
         """One record by its id, through the sorted index and one frame."""
-        index = np.frombuffer(self.store.open_input_file(self.index_path).read(), INDEX)
-        keys, key = [bytes(x) for x in index["id"]], uuid.UUID(name[10:-1]).bytes
-        from bisect import bisect_left
-
-        k = bisect_left(keys, key)
-        if k == len(keys) or keys[k] != key:
+        index, key = self.index(), uuid.UUID(name[10:-1]).bytes
+        low, high = 0, len(index)
+        while low < high:
+            middle = (low + high) // 2
+            if index["id"][middle].tobytes() < key:
+                low = middle + 1
+            else:
+                high = middle
+        if low == len(index) or index["id"][low].tobytes() != key:
             return None
-        headers, block, _ = parse(self.frame(int(index["frame"][k])), int(index["offset"][k]))
+        headers, block, _ = parse(self.frame(int(index["frame"][low])), int(index["offset"][low]))
         return headers, block
 
-
-def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+    def index(self) -> np.ndarray:
+        """The sorted index, memory-mapped where its folder is mounted."""
+        if path := local_path(self.index_uri):
+            return np.memmap(path, INDEX, "r")
+        return np.frombuffer(self.store.open_input_file(self.index_path).read(), INDEX)
+
+
+def write_archive(
+    pages: DataFrame,
+    folder: str,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    min_revisit_bytes: int = 0,
+    frame_bytes: int = FRAME_BYTES,
+    bundle_bytes: int = BUNDLE_BYTES,
+) -> DataFrame:
     """Write a record per row and return the list of bundles (name, records).
 
     Payload: the text in UTF-8, null as empty. Of records with equal payloads of at least
     ``min_revisit_bytes`` bytes, that with the smallest id is a response and others revisit it; repeated
     rows with that smallest id are all responses. A row without id is a response that nothing refers to.
-    Null urls are empty. Equal payloads are found by SHA-1; counts are pre-aggregated in each task.
+    Null urls are empty. Other columns are ignored. No rows: no bundles.
+
+    Equal payloads are found by SHA-1 on rows of id and digest, apart from the payloads; payloads that many rows hold meet
+    their first id by a bounded broadcast. The wide rows then meet the list of revisits by (id, digest), which repeats
+    for repeated rows alone; they stay where they are if the list is small.
     """
-    rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("_url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("_html"))
-    rows = rows.withColumn("_sha", F.when(F.octet_length("_html") >= min_revisit_bytes, F.sha1(F.col("_html").cast("binary"))))
-    first = written(rows.where("_sha IS NOT NULL AND _id IS NOT NULL").groupBy("_sha").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("_sha", "_first"), "warc-first")
-    # only payloads met twice matter; the wide rows stay where they are when few keys are shared
-    joined = join_by_hot_key(rows, first, "_sha").select("_id", "_url", "_html", F.when(F.col("_id") > F.col("_first"), F.col("_first")).alias("_refers"))
+    html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    sha = F.when(F.octet_length("_html") >= min_revisit_bytes, F.sha1(F.col("_html").cast("binary")))
+    url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
+    rows = pages.select(F.col(id_col).cast("long").alias("_id"), url.alias("_url"), html.alias("_html")).withColumn("_sha", sha)
+    narrow = rows.where("_sha IS NOT NULL AND _id IS NOT NULL").select("_id", "_sha").distinct()
+    first = narrow.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    first = written(first.select("_sha", "_first"), "warc-first")
+    # only payloads met twice matter: the others drop out before anything is joined
+    met = written(narrow.join(first.select("_sha"), "_sha", "left_semi"), "warc-met")
+    again = join_by_hot_key(met, first, "_sha").where("_id > _first").select("_id", "_sha", F.col("_first").alias("_refers"))
+    again = written(again, "warc-revisits")
+    joined = rows.join(again, ["_id", "_sha"], "left").select("_id", "_url", "_html", "_refers")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, bundle, count = TaskContext.get().partitionId(), 0, Bundle(frame_bytes), 0
@@ -170,17 +200,21 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
             number, bundle, count = number + 1, Bundle(frame_bytes), 0
             return done
 
-        for batch in batches:
-            for page_id, url, html, refers in zip(*(batch.column(c).to_pylist() for c in ("_id", "_url", "_html", "_refers")), strict=True):
+        parts = (part for batch in batches for part in slices(batch, "_html"))
+        for rows in parts:
+            for page_id, url, html, refers in zip(*(rows[c].to_pylist() for c in ("_id", "_url", "_html", "_refers")), strict=True):
                 payload = html.encode()
-                bundle.add(record_id(page_id), record(page_id, url, b"" if refers is not None else payload, base32_sha1(payload), len(payload), refers))
+                body = b"" if refers is not None else payload
+                bundle.add(record_id(page_id), record(page_id, url, body, base32_sha1(payload), len(payload), refers))
                 count += 1
                 if bundle.bytes_held() >= bundle_bytes:
                     yield close()
         if count:
             yield close()
 
-    return written(joined.mapInArrow(write, "bundle string, records long"), "warc-bundles")
+    bundles = written(joined.mapInArrow(write, "bundle string, records long"), "warc-bundles")
+    discard(first, met, again)
+    return bundles
 
 
 def read_archive(bundles: DataFrame, folder: str, payloads: bool = False) -> DataFrame:

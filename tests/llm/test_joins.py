@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import ngram_join
+from tallyloom.llm import language_id, ngram_join, quality_rules
 from tallyloom.llm.ngram_join import OP7_SQL, Order, Tree, linked, near_duplicates, op7_ngram_jaccard_join
 from tallyloom.llm.tool_calls import OP9_SQL, SCHEMAS, levels, link, op9_tool_call_linking
 
+from .test_learnt import base_spans, check_pieces, counts, features, random_spans, slow_prediction
+
 
 def brute(rows):
     sets = []
@@ -67,6 +69,88 @@ def test_planted_links(spark, monkeypatch, block, hot):
     assert sorted(map(tuple, near_duplicates(df).collect())) == brute(rows)
 
 
+def test_blocks_meet_down_a_tree(spark, monkeypatch):
+    """A neighbourhood of many blocks, at the block size of production and in a tree of several levels."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    # chains of near copies: links of a chain are neighbours, its ends are not alike
+    texts = []
+    for chain in range(4):
+        w = [word() for _ in range(60)]
+        for _ in range(800):
+            w = list(w)
+            w[rng.randrange(60)] = word()
+            texts.append(" ".join(w))
+    rows = list(enumerate(texts, 1))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    seen = []
+    plain = ngram_join.meeting_blocks
+    monkeypatch.setattr(ngram_join, "meeting_blocks", lambda nodes, parts, *a: plain(nodes, seen.append(nodes.count()) or parts, *a))
+    got = sorted(map(tuple, near_duplicates(df).collect()))
+    assert got == brute_fast(rows)
+    assert seen and seen[0] >= 4
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "BLOCK_FANOUT", 2)
+    small = spark.createDataFrame(rows[:700], "doc_id long, text string").repartition(6)
+    assert sorted(map(tuple, near_duplicates(small).collect())) == brute_fast(rows[:700])
+    assert seen[-1] >= 20
+
+
+def brute_fast(rows):
+    """As ``brute``, over pairs that share a shingle."""
+    sets, holders = {}, {}
+    for doc, text in rows:
+        w = text.split()
+        sets[doc] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        for x in sets[doc]:
+            holders.setdefault(x, []).append(doc)
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for d, s in sets.items():
+        for o in {o for x in s for o in holders[x] if o < d}:
+            if 100 * len(s & sets[o]) >= 75 * len(s | sets[o]):
+                x, y = sorted((find(d), find(o)))
+                root[y] = x
+    return sorted((d, len(s), find(d)) for d, s in sets.items())
+
+
+def test_planted_near_copies_are_caught(spark):
+    """Recall of copies by their similarity: all at 0.75 or more, none below."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(5))
+    rows, at_least, below = [], set(), set()
+    for k in range(200):
+        w = [word() for _ in range(100)]
+        v = list(w)
+        for i in rng.sample(range(100), k % 8):
+            v[i] = word()
+        a, b = (({tuple(x[i : i + 5]) for i in range(96)}) for x in (w, v))
+        (at_least if 100 * len(a & b) >= 75 * len(a | b) else below).add(2 * k + 1)
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(at_least) > 50 and len(below) > 50
+    assert all(got[d] == d - 1 for d in at_least) and all(got[d] == d for d in below)
+
+
+def test_several_buckets_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MOST_PARTS", 3)
+    rows = planted(120)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, near_duplicates(df, parts=16).collect())) == brute(rows)
+
+
+def test_an_id_of_another_name(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, "a b")], "n_shingles long, text string")
+    got = near_duplicates(rows, id_col="n_shingles").collect()
+    assert sorted((r.n_shingles_input, r.n_shingles, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1)]
+
+
 def test_op7_equals_its_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
@@ -123,6 +207,22 @@ def test_links_levels_and_faults(spark):
     assert link(calls.where("false"), results.where("false"), needs.where("false"), SCHEMAS).collect() == []
 
 
+def test_equal_and_hot_calls(spark):
+    """Of equal rows one is the first; a call id that most rows hold, and rows without id."""
+    calls = [(1, "a", 0, "ask", "{}")] * 2 + [(1, None, 0, "ask", "{}")] * 3 + [(2, "hot", i, "ask", "{}") for i in range(3000)]
+    results = [(1, "a", 1, "r")] * 2 + [(2, "hot", 9, "r"), (2, "hot", 8, "r"), (3, None, 1, "r")]
+    c = spark.createDataFrame(calls, "conv_id long, call_id string, seq long, name string, arguments string")
+    r = spark.createDataFrame(results, "conv_id long, call_id string, seq long, content string")
+    needs = spark.createDataFrame([("hot", "a")] * 3, "call_id string, needed string")
+    got = [(x.kind, x.call_id, x.seq, x.status, x.level) for x in link(c, r, needs, SCHEMAS).collect()]
+    assert len(got) == len(calls) + len(results)
+    of = lambda kind, id: sorted(x[2:4] for x in got if x[:2] == (kind, id))
+    assert of("call", "a") == [(0, "answered"), (0, "repeated")] and of("result", "a") == [(1, "linked"), (1, "repeated")]
+    assert of("call", None) == [(0, "unanswered")] * 3 and of("result", None) == [(1, "orphan")]
+    assert of("call", "hot")[:2] == [(0, "answered"), (1, "repeated")] and of("result", "hot") == [(8, "linked"), (9, "repeated")]
+    assert {x[4] for x in got if x[1] == "hot"} == {1}
+
+
 def test_levels_against_brute_force(spark):
     rng = np.random.default_rng(9)
     edges = {(i, i - 1) for i in range(1, 40)}  # a chain
@@ -140,18 +240,79 @@ def test_levels_against_brute_force(spark):
     assert {want.get(i) for i in (130, 134, 135, 136)} == {None} and want[39] == 39
 
 
-def test_pipeline(spark, sf):
-    docs, columns = spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id", "text", "lang", "source", "n_chars"]
-    sizes = [docs.count()]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs, stage(spark, docs, sf).persist()
-        assert docs.columns == columns, name
-        sizes.append(docs.count())
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_pipeline(spark, sf, tmp_path):
+    """Every stage against plain Python over what the stage before it kept."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        out.write.parquet(str(tmp_path / name))
+        out = spark.read.parquet(str(tmp_path / name))
+        before, after = docs.collect(), out.collect()
+        if name == "packing":
+            check_pieces(after, before)
+            break
+        assert out.columns == COLUMNS, name
+        ids = [r.doc_id for r in after]
+        if name == "language_id":
+            net = language_id.fit(docs.where(~language_id.held_out()))
+            sample = [r for r in before if len(r.text or "") < 400]
+            for r in sample:
+                known = any(map(str.isalpha, r.text or "")) and slow_prediction(net, r.text)[1] >= corpus_pipeline.MIN_SCORE
+                assert known == (r.doc_id in ids)
+            assert len(sample) > 20
+        if name == "quality_rules":
+            rules = quality_rules.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+            assert sorted(ids) == sorted(r.doc_id for r in before if good(r.text, rules))
         if name == "near_duplicates":
-            want = {d for d, _, c in brute([(r.doc_id, r.text) for r in before.collect()]) if d == c}
-            assert {r.doc_id for r in docs.collect()} == want
+            assert sorted(ids) == sorted(d for d, _, c in brute([(r.doc_id, r.text) for r in before]) if d == c)
         if name == "secret_scan":
-            assert docs.where("text LIKE '%[SECRET]%'").count() > 0 and docs.where("n_chars <> length(text)").count() == 0
-    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.6 * sizes[0]
+            masked = {r.doc_id: masked_text(r.text) for r in before}
+            assert {r.doc_id: r.text for r in after} == masked and any("[SECRET]" in t for t in masked.values())
+            assert all(r.n_chars == len(r.text) for r in after)
+        docs = out
     final = corpus_pipeline.run(spark, sf)
-    assert {r.doc_id for r in final.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+    assert sorted(map(tuple, final.select("doc_id", "start", "length", "ids_crc32").collect())) == sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in after)
+
+
+def good(text, rules):
+    holds = {"<=": lambda a, b: a <= b, ">": lambda a, b: a > b}
+    n, _, _, _, repeat = counts(text)
+    own = features(text)
+    bad = any(all(holds[op](own[f], c) for f, op, c in rule.conditions) for rule in rules)
+    return n >= 50 and 100 * repeat <= 50 * n and not bad
+
+
+def masked_text(text):
+    out, at = [], 0
+    for a, _, b in sorted(base_spans(text) + random_spans(text)):
+        if a >= at:
+            out += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def test_stages_on_odd_rows(spark, sf):
+    """Empty tables, null ids and texts, repeated rows, and more columns."""
+    text = " ".join(f"word{i} of the and that" for i in range(30))
+    near = text.replace("word3 ", "other ")
+    rows = [(None, text, "en"), (None, text, "en"), (7, text, "en"), (8, near, "en"), (8, near, "en"), (9, None, None), (10, "", "en")]
+    rows += [(20 + i, " ".join(f"und{j}{i} der die das nicht" for j in range(20)), "de") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("s"))
+    docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumn("row_id", F.lit("clash")).withColumn("score", F.lit("clash"))
+    stages = dict(corpus_pipeline.STAGES)
+    for name, stage in stages.items():
+        assert stage(spark, docs.where("false").select(*COLUMNS), sf).collect() == [], name
+    kept = stages["near_duplicates"](spark, docs, sf).collect()
+    # one of the group, which has no id and so the least key; rows without words stay
+    assert [r.doc_id for r in kept if (r.text or "").startswith("word")] == [None]
+    assert {9, 10} <= {r.doc_id for r in kept} and len(kept) == 8
+    once = stages["near_duplicates"](spark, docs.where("doc_id IS NOT NULL"), sf).collect()
+    assert sorted(r.doc_id for r in once) == [7, 9, 10, 20, 21, 22, 23, 24]
+    good_ones = [r.doc_id for r in stages["language_id"](spark, docs, sf).collect()]
+    assert good_ones.count(None) == 2 and not {9, 10} & set(good_ones)
+    assert stages["secret_scan"](spark, docs, sf).count() == len(rows)
+    assert {r.doc_id for r in stages["packing"](spark, docs, sf).collect()} == {r[0] for r in rows}
+    assert len(stages["quality_rules"](spark, docs, sf).collect()) <= len(rows)

@@ -1,6 +1,8 @@
 """Quality rules, secret scan, language ID and packing against plain Python, with awkward rows."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
@@ -9,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyloom.llm import language_id, packing, quality_rules, secrets
@@ -56,6 +59,45 @@ def test_quality_of_odd_rows(docs, none, spark):
     assert quality_rules.fit(none, labels) == [] and quality_rules.judge(none, []).collect() == []
 
 
+def features(text):
+    """What the rules look at, in plain Python."""
+    text = text or ""
+    n, chars, symbols, dup, repeat = counts(text)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in text.split("\n"))
+    per = lambda a, b: a / b if b else 0.0
+    upper, exclaim = sum("A" <= c <= "Z" for c in text), text.count("!")
+    values = [per(symbols, n), per(dup, lines), per(repeat, n), per(upper, chars), per(chars, n), per(exclaim, n), per(n, lines)]
+    return dict(zip(quality_rules.FEATURES, values, strict=True))
+
+
+def test_rules_are_evaluated_as_they_read(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rules = quality_rules.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert rules
+    holds = {"<=": lambda a, b: a <= b, ">": lambda a, b: a > b}
+    for r in quality_rules.judge(docs, rules).collect():
+        own = features(r.text)
+        hits = (k for k, rule in enumerate(rules, 1) if all(holds[op](own[f], c) for f, op, c in rule.conditions))
+        assert r.quality_report.rule == next(hits, 0)
+
+
+CLASHES = ["_t", "_q", "_k", "t", "q", "base", "secret_base", "secret_spans", "quality_report", "score", "lang_pred", "in 0"]
+
+
+def test_columns_of_the_input_stay(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefghijklmnop é")], "doc_id long, text string")
+    docs = docs.select("*", *(F.lit(c).alias(c) for c in CLASHES))
+    net = language_id.train([(language_id.sampled(b"the and of", 4).tobytes(), "en")])
+    kept = {"secret_base", "secret_spans"}, {"quality_report"}, {"lang_pred", "score"}
+    outs = secrets.with_spans(docs), quality_rules.judge(docs, []), language_id.identify(docs, net)
+    for out, outputs in zip(outs, kept, strict=True):
+        row = out.first().asDict()
+        assert {c: row[f"{c}_input" if c in outputs else c] for c in CLASHES} == {c: c for c in CLASHES}
+        assert outputs <= row.keys() and row["text"] == "token=abcdefghijklmnop é"
+    masked = secrets.redacted(docs)
+    assert masked.columns == docs.columns and masked.first().asDict() == {"doc_id": 1, "text": "[SECRET] é"} | {c: c for c in CLASHES}
+
+
 def test_covering_finds_the_planted_rule():
     rng = random.Random(2)
     cells = []
@@ -109,6 +151,84 @@ def test_random_tokens_and_words(spark):
     assert not any("random" in got[100 + i] for i in range(len(words)))
 
 
+def upper_normal(z):
+    a = abs(z)
+    t = 1 / (1 + 0.2316419 * a)
+    series = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    p = math.exp(-a * a / 2) * 0.3989422804014327 * series
+    return p if z >= 0 else 1 - p
+
+
+def symbols_of(token):
+    """The smallest alphabet that holds a code; none for words and numbers."""
+    digit, upper, lower = (re.search(x, token) for x in ("[0-9]", "[A-Z]", "[a-z]"))
+    if not (digit and (upper or lower) or upper and lower and re.search("[a-z].*[A-Z]", token)):
+        return None
+    digits, big, small = secrets.ORDER[:10], secrets.ORDER[10:36], secrets.ORDER[36:62]
+    order = digits + (big if upper else small)
+    tries = [(digits + "abcdef", 16, order), (digits + "ABCDEF", 16, order), (big + "234567", 32, big + "234567")]
+    tries += [(digits + big, 36, order), (digits + small, 36, order), (digits + big + small, 62, secrets.ORDER[:62])]
+    tries += [(secrets.ORDER[:64], 64, secrets.ORDER[:64]), (secrets.ORDER[:62] + "-_", 64, secrets.ORDER[:62] + "-_")]
+    return next(((k, s) for chars, k, s in tries if set(token) <= set(chars)), None)
+
+
+def p_value(token, k, order):
+    x = [float(order.index(c)) for c in token]
+    n, df = float(len(x)), k - 1
+    chi = sum(c * c for c in Counter(x).values()) * k / n - n
+    spread = 2 / (9 * df)
+    p1 = upper_normal(((chi / df) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    high = [v > df / 2 for v in x]
+    a, b = sum(high), n - sum(high)
+    runs = 1 + sum(u != v for u, v in itertools.pairwise(high))
+    variance = 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+    p2 = 2 * upper_normal(abs((runs - 2 * a * b / n - 1) / math.sqrt(variance))) if variance > 0 else 0.0
+    whole = n * sum(v * v for v in x) - sum(x) ** 2
+    lagged = sum(u * v for u, v in zip(x, x[1:] + x[:1], strict=True))
+    sd = math.sqrt(n * n / ((n - 1) ** 2 * (n - 2)))
+    p3 = 2 * upper_normal(abs(((n * lagged - sum(x) ** 2) / whole + 1 / (n - 1)) / sd)) if whole > 0 else 0.0
+    half = -sum(math.log(max(p, 1e-300)) for p in (p1, p2, p3))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def random_spans(text, rate=secrets.FALSE_DISCOVERY):
+    """Tokens apart from base spans, tested; those that the weighted step-up doesn't reject."""
+    base, found = base_spans(text), []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text):
+        if any(a < m.end() and b > m.start() for a, _, b in base) or (kind := symbols_of(m[0])) is None:
+            continue
+        found.append((p_value(m[0], *kind), m.start(), m.end()))
+    if not found:
+        return []
+    mean = sum(b - a for _, a, b in found) / len(found)
+    ranked = sorted((p * mean / (b - a), a, b) for p, a, b in found)
+    rejected = max((i for i, t in enumerate(ranked, 1) if t[0] <= rate * i / len(ranked)), default=0)
+    return [(a, 3, b) for _, a, b in ranked[rejected:]]
+
+
+def test_battery_equals_plain_python(spark, sf):
+    rng = random.Random(6)
+    letters = [secrets.ORDER[:62], secrets.ORDER[:64], "0123456789ABCDEF", "ab1", "abcdefghijklmnop1", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    token = lambda: "".join(rng.choice(rng.choice(letters)) for _ in range(1)) + "".join(rng.choices(rng.choice(letters), k=rng.randint(18, 90)))
+    made = [" é ".join(token() for _ in range(rng.randint(1, 12))) for _ in range(300)] + ["deadbeef0123456789 " * 150]
+    docs = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(made)], "doc_id long, text string")
+    docs = docs.unionByName(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    got = secrets.with_spans(docs).select("text", secrets.listed("secret_spans").alias("s")).collect()
+    some = 0
+    for r in got:
+        want = random_spans(r.text or "")
+        some += len(want)
+        assert r.s == joined(sorted(base_spans(r.text or "") + want)), r.text
+    assert some > 100
+
+
+def test_many_matches_in_one_text(spark):
+    text = "secret=abcdefghijkl deadbeef0123456789 " * 700
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert secrets.with_spans(docs).select(secrets.listed("secret_spans").alias("s")).first().s == joined(base_spans(text))
+    assert secrets.redacted(docs).first().text == "[SECRET] [SECRET] " * 700
+
+
 def test_redaction(spark, docs, none):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(SECRETS)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in secrets.redacted(rows).collect()}
@@ -125,17 +245,56 @@ def test_op4(spark, sf):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def test_language_of_odd_rows(docs, none):
-    net = language_id.train([(b"the and of this that with from have", "en"), (b"der die und nicht sich auch eine", "de")] * 20)
-    rows = language_id.identify(docs, net, keep=["n_tokens"]).collect()
-    assert len(rows) == docs.count()
-    by = {r.text: None for r in docs.collect()}
-    letterless = [t for t in by if not re.search(r"[^\W\d_]", t or "")]
-    assert sum(r.lang_pred == "und" for r in rows) == sum(d.text in letterless for d in docs.collect()) and len(letterless) >= 4
+def slow_prediction(net, text):
+    """The network by definition: every filter at every place of every window."""
+    data = text.encode().translate(language_id.FOLD)
+    total, weight = np.zeros(len(net.classes)), 0
+    for at in range(0, len(data), language_id.WINDOW):
+        own = data[at : at + language_id.WINDOW]
+        window = own.ljust(language_id.WINDOW, b"\0")
+        pooled = []
+        for f in net.filters:
+            sums = [sum(f[k][window[i + k]].astype("f8") for k in range(len(f))) for i in range(len(window) - len(f) + 1)]
+            pooled.append(np.max(sums, axis=0))
+        z = np.maximum(np.concatenate(pooled) + net.bias, 0) @ net.weight.astype("f8") + net.offset
+        size = sum(b != 0 for b in own)
+        total += z * max(size, 1)
+        weight += max(size, 1)
+    e = np.exp(total / weight - (total / weight).max())
+    return net.classes[int(e.argmax())], float(e.max() / e.sum())
+
+
+def test_prediction_equals_the_definition(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("n_chars").limit(120)
+    net = language_id.fit(docs)
+    for r in language_id.identify(docs, net).collect():
+        if r.lang_pred == "und":
+            assert not any(map(str.isalpha, r.text or ""))
+            continue
+        lang, score = slow_prediction(net, r.text)
+        assert (r.lang_pred, r.score) == (lang, pytest.approx(score, abs=1e-4))
+
+
+def test_language_of_odd_rows(spark, docs, none):
+    samples = [(b"the and of this that with from have", "en"), (b"der die und nicht sich auch eine", "de")] * 20
+    net = language_id.train([(language_id.sampled(t, 4).tobytes(), lang) for t, lang in samples])
+    more = spark.createDataFrame([(50, "½ ② 12 ²"), (51, "12 ª")], "doc_id long, text string")
+    whole = docs.unionByName(more, allowMissingColumns=True)
+    rows = language_id.identify(whole, net).collect()
+    assert len(rows) == whole.count()
+    assert all((r.lang_pred == "und") == (not any(map(str.isalpha, r.text or ""))) for r in rows)
+    assert {r.doc_id: r.lang_pred == "und" for r in rows if (r.doc_id or 0) >= 50} == {50: True, 51: False}
     assert language_id.identify(none, net).collect() == [] and language_id.fit(none) is None
     assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
 
 
+def test_windows_come_from_whole_texts():
+    text = random.Random(3).randbytes(60_000)
+    found, every = language_id.sampled(text, 40), language_id.windows(text).tolist()
+    at = [every.index(w.tolist()) for w in found]
+    assert found.shape == (40, language_id.WINDOW) and len(set(at)) == 40 and min(at) < 60 and max(at) > 250
+
+
 @pytest.mark.parametrize("limits", [Limits(), Limits(128, 5, 60), Limits(100, 3, 100), Limits(1, 1, 1)])
 def test_pack(limits):
     rng = random.Random(1)
@@ -156,6 +315,29 @@ def test_pack(limits):
         assert at == size
 
 
+def test_each_limit_binds_in_turn():
+    """Sequences that reach one limit alone, before unfilled ones are cut."""
+    sums = lambda b, free: (sum(n for *_, n in b), len(b), sum(a + n - max(a, min(free[k], a + n)) for k, a, n in b))
+    cases = [
+        ([30] * 50, [30] * 50, (100, 9, 50), 0),  # prompts alone: tokens
+        ([3] * 90, [1] * 90, (100, 9, 50), 1),  # small examples: segments
+        ([20] * 50, [5] * 50, (100, 9, 50), 2),  # little prompt: loss
+        ([3000, 5000, 900, 800], [64] * 4, (2048, 64, 1984), 2),  # as in the query: long texts reach the loss limit
+    ]
+    for sizes, free, limit, which in cases:
+        found = [sums(b, free) for b in packing.bins(sizes, free, Limits(*limit))]
+        assert all(x <= m for f in found for x, m in zip(f, limit, strict=True))
+        assert any(f[which] == limit[which] for f in found)
+        if which:
+            assert any(f[which] == limit[which] and f[0] < limit[0] for f in found) or which == 2
+
+
+def test_the_querys_limit_on_loss_binds_and_sequences_fill(spark, sf):
+    rows = op6_vector_packing(spark, sf).groupBy("sequence_id").agg(F.sum("loss_tokens").alias("loss"), F.max("bin_tokens").alias("n")).collect()
+    assert max(r.loss for r in rows) == packing.LIMITS.loss
+    assert sum(r.n == 2048 for r in rows) > 0.9 * len(rows)
+
+
 def check_pieces(rows, docs):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True

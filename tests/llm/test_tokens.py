@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import zlib
 
@@ -9,6 +10,8 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyloom.llm.byte_bpe import BytePairs, decode_column, encode_column, op8_byte_bpe, round_trip_digests
@@ -25,11 +28,34 @@ def mixed(n: int) -> list[str]:
     return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 40))) for _ in range(n)] + [t or "" for t in TEXTS]
 
 
-@pytest.mark.parametrize(("name", "words"), [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
-def test_encoder_equals_the_library(name, words):
+def lines(n: int) -> list[str]:
+    """Texts of words, marks and every run of line ends and spaces."""
+    rng = random.Random(8)
+    parts = ["word", "Word", "it's", "x.", "y,", "12", "é", " ", "  ", "\n", "\n\n", "\n\n\n", " \n", "\n ", "\t", "\r\n", "'s", " zurich", "$"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")])
+def test_encoder_equals_the_library(name, kind):
     t = Tokenizer.from_file(P.path(name))
     t.encode_special_tokens = True
-    own, texts = Encoder(P.path(name), words, limit=50), mixed(3000)
+    own, texts = Encoder(P.path(name), limit=50), mixed(3000) + lines(4000)
+    assert own.kind == kind
+    for k in range(0, len(texts), 100):
+        part = texts[k : k + 100]
+        want = [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(part)] == want
+
+
+def test_a_file_that_splits_in_another_way_gets_whole_texts(tmp_path):
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        other = json.load(file)
+    other["pre_tokenizer"]["use_regex"] = False
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    t = Tokenizer.from_file(str(tmp_path / "other.json"))
+    own, texts = Encoder(str(tmp_path / "other.json")), ["the cat sat on the mat", "of the\nin the"]
+    assert own.kind is None
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == [e.ids for e in t.encode_batch(texts)]
     for k in range(0, len(texts), 100):
         part = texts[k : k + 100]
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(part)] == [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
@@ -84,7 +110,7 @@ def expected_rows(rows, end):
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     t.encode_special_tokens = True
     out, start = [], 0
-    for r in sorted(rows, key=lambda r: (NULL_ID if r.doc_id is None else r.doc_id, r.text is not None, r.text or "")):
+    for r in sorted(rows, key=lambda r: (NULL_ID if r.doc_id is None else r.doc_id, r.hash)):
         ids = [*t.encode(r.text or "", add_special_tokens=False).ids, end]
         out.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -96,7 +122,7 @@ key = lambda r: (r[1], r[2])
 
 def test_op1_on_documents(spark, sf):
     got = sorted((tuple(r) for r in op1_token_binary(spark, sf).collect()), key=key)
-    assert got == expected_rows(spark.read.parquet(f"{sf}/documents.parquet").collect(), 2)
+    assert got == expected_rows(spark.read.parquet(f"{sf}/documents.parquet").withColumn("hash", F.xxhash64("text")).collect(), 2)
 
 
 @pytest.mark.parametrize("width", [2, 4])
@@ -104,12 +130,34 @@ def test_token_files_of_odd_rows(docs, none, tmp_path, width):
     folder = str(tmp_path / "t")
     bases = write_tokens(docs, folder, "word_bpe_49k.json", 2, width=width, docs_per_part=4)
     got = sorted((tuple(r) for r in read_tokens(docs.sparkSession, folder).collect()), key=key)
-    want = expected_rows(docs.collect(), 2)
+    want = expected_rows(docs.withColumn("hash", F.xxhash64("text")).collect(), 2)
     assert [g[1:] for g in got] == [w[1:] for w in want] and [g[0] for g in got] == [w[0] for w in want]
     parts = bases.orderBy("part").collect()
     assert len(parts) > 1 and parts[1].first_token == parts[0].tokens
     ids, offsets = open_part(folder, f"{parts[0].part}.bin", f"<u{width}"), open_part(folder, f"{parts[0].part}.off", "<u8")
-    assert isinstance(ids, np.memmap) and offsets[-1] == len(ids) and ids[-1] == 2
+    assert isinstance(ids, np.memmap) and max(p.docs for p in parts) <= 4 and offsets[-1] == len(ids) and ids[-1] == 2
     empty = str(tmp_path / "e")
     write_tokens(none, empty, "word_bpe_49k.json", 2)
     assert read_tokens(docs.sparkSession, empty).collect() == []
+
+
+def test_parts_close_by_bytes_and_rows_without_id_split(spark, tmp_path):
+    rows = [(None, f"no id {i}") for i in range(300)] + [(1, "word " * 2000) for _ in range(5)] + [(2, "x")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = str(tmp_path / "t")
+    parts = write_tokens(odd, folder, "word_bpe_49k.json", 2, docs_per_part=64, bytes_per_part=10_000).collect()
+    assert max(p.docs for p in parts) <= 64 and sum(p.docs for p in parts) == len(rows) and any(p.part & 0xFFFFFF for p in parts)
+    got = sorted((tuple(r) for r in read_tokens(spark, folder).collect()), key=key)
+    assert got == expected_rows(odd.withColumn("hash", F.xxhash64("text")).collect(), 2)
+
+
+def test_ids_that_16_bits_do_not_hold_raise(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(PySparkException):
+        write_tokens(docs, str(tmp_path / "t"), "word_bpe_49k.json", 70_000, width=2)
+
+
+def test_an_id_named_like_an_output(spark, tik):
+    docs = spark.createDataFrame([(1, "a b")], "ids long, text string")
+    got = encode_column(docs, "byte_bpe_multi_50k.tiktoken", id_col="ids").first()
+    assert (got["ids_input"], got["ids"]) == (1, tik.encode_ordinary("a b"))
