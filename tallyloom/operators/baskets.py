@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import written
+
 
 def assemble(pairs: DataFrame, distinct: bool = True) -> DataFrame:
     """(txn_id, items): sorted distinct items, or with distinct=False the sorted bag.
@@ -22,7 +24,8 @@ def transactions(pairs: DataFrame) -> DataFrame:
 
 def item_counts(pairs: DataFrame) -> DataFrame:
     """(item, line_count, support): lines, and distinct transactions, of each item."""
-    return pairs.groupBy("item", "txn_id").agg(F.count("*").alias("lines")).groupBy("item").agg(F.sum("lines").alias("line_count"), F.count("*").alias("support"))
+    lines = pairs.groupBy("item", "txn_id").agg(F.count("*").alias("lines"))
+    return lines.groupBy("item").agg(F.sum("lines").alias("line_count"), F.count("*").alias("support"))
 
 
 def least_support(n: Column, min_support: float) -> Column:
@@ -33,17 +36,28 @@ def least_support(n: Column, min_support: float) -> Column:
 def frequent_items(pairs: DataFrame, min_support: float, by: str = "support") -> DataFrame:
     """(item, support) with at least the least support, by distinct transactions or by ``line_count``."""
     counts = item_counts(pairs).select("item", F.col(by).alias("support"))
-    return counts.crossJoin(F.broadcast(transactions(pairs))).where(F.col("support") >= least_support(F.col("n"), min_support)).select("item", "support")
+    enough = F.col("support") >= least_support(F.col("n"), min_support)
+    return counts.crossJoin(F.broadcast(transactions(pairs))).where(enough).select("item", "support")
+
+
+def ordered_baskets(pairs: DataFrame, min_support: float) -> DataFrame:
+    """(txn_id, items): ``ordered`` by the frequent items of the same pairs, which are read and reduced to distinct rows once."""
+    rows = written(pairs.select("txn_id", "item").distinct(), "pairs")
+    counts = rows.groupBy("item").agg(F.count("*").alias("support"))
+    n = F.broadcast(transactions(rows))  # one row
+    frequent = counts.crossJoin(n).where(F.col("support") >= least_support(F.col("n"), min_support))
+    return ordered(rows, frequent.select("item", "support"), distinct=True)
 
 
-def ordered(pairs: DataFrame, frequent: DataFrame) -> DataFrame:
+def ordered(pairs: DataFrame, frequent: DataFrame, distinct: bool = False) -> DataFrame:
     """(txn_id, items): frequent items, by falling support, ties by item; baskets without any stay, empty.
 
-    The frequent side is hash-joined by item; Spark broadcasts it only if its size allows.
+    The frequent side is hash-joined by item; Spark broadcasts it only if its size allows. distinct: ``pairs`` are.
     """
-    rows = pairs.dropDuplicates(["txn_id", "item"]).join(frequent, "item", "left")
+    rows = (pairs if distinct else pairs.dropDuplicates(["txn_id", "item"])).join(frequent, "item", "left")
     entry = F.when(F.col("support").isNotNull(), F.struct((-F.col("support")).alias("s"), F.col("item").alias("item")))
-    return rows.groupBy("txn_id").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"]).alias("items"))
+    items = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"])
+    return rows.groupBy("txn_id").agg(items.alias("items"))
 
 
 def group_of(item: Column, groups: int) -> Column:
@@ -56,5 +70,9 @@ def group_prefixes(baskets: DataFrame, groups: int) -> DataFrame:
 
     All within the row: no shuffle.
     """
-    last = F.map_from_entries(F.transform(F.array_distinct(F.transform("items", lambda x: group_of(x, groups))), lambda g: F.struct(g.alias("g"), F.aggregate(F.transform("items", lambda x, i: F.when(group_of(x, groups) == g, i + 1).otherwise(0)), F.lit(0), lambda a, v: F.greatest(a, v)).alias("p"))))
-    return baskets.select("txn_id", "items", F.explode(last).alias("group_id", "p")).select("txn_id", "group_id", F.slice("items", F.lit(1), F.col("p")).alias("items"), F.lit(1).cast("long").alias("weight"))
+    groups_of = F.array_distinct(F.transform("items", lambda x: group_of(x, groups)))
+    place = lambda g: F.transform("items", lambda x, i: F.when(group_of(x, groups) == g, i + 1).otherwise(0))
+    last = F.map_from_entries(F.transform(groups_of, lambda g: F.struct(g.alias("g"), F.array_max(place(g)).alias("p"))))
+    rows = baskets.select("txn_id", "items", F.explode(last).alias("group_id", "p"))
+    weight = F.lit(1).cast("long").alias("weight")
+    return rows.select("txn_id", "group_id", F.slice("items", F.lit(1), F.col("p")).alias("items"), weight)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_SIZE = 15
+from ..sources.storage import written
+from .mining import CHUNK, subsets
 
 
 def supports(wanted: DataFrame, itemsets: DataFrame) -> DataFrame:
@@ -20,52 +21,79 @@ def candidates(itemsets: DataFrame) -> DataFrame:
     return rows.join(other, "head").where("last < next").select(F.concat("head", F.array("last", "next")).alias("items"))
 
 
-def without_item(items: str, item) -> F.col:
-    return F.array_remove(items, item)
-
-
-def without_set(items: str, other: str) -> F.col:
-    return F.array_except(items, other)
-
-
 def splits(itemsets: DataFrame) -> DataFrame:
-    """(items, support, antecedent, consequent): all ways to part each set of 2 to ``MAX_SIZE`` items; larger sets raise."""
-    sized = itemsets.where(F.size("items") >= 2).select(F.when(F.size("items") <= MAX_SIZE, F.col("items")).otherwise(F.raise_error(F.lit(f"an itemset has more than {MAX_SIZE} items"))).alias("items"), "support")
-    masks = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("items")) - 2)
-    rows = sized.select("items", "support", F.explode(masks).alias("m"))
-    bit = lambda i: F.col("m").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) > 0
-    return rows.select("items", "support", F.filter("items", lambda x, i: ~bit(i)).alias("antecedent"), F.filter("items", lambda x, i: bit(i)).alias("consequent"))
-
-
-def association_rules(itemsets: DataFrame, n: int, min_confidence: float = 0.05, min_lift: float = 0.0, source: DataFrame | None = None, lift_pruning: bool = False) -> DataFrame:
+    """(items, support, antecedent, consequent): all ways to part each set of 2 items or more."""
+    rows = subsets(itemsets.where(F.size("items") >= 2).select("items", "support"), "items")
+    rows = rows.where((F.size("taken") > 0) & (F.size("taken") < F.size("items")))
+    consequent = F.transform("taken", lambda i: F.get("items", i))
+    out = rows.select("items", "support", consequent.alias("consequent"))
+    return out.select("items", "support", F.array_except("items", "consequent").alias("antecedent"), "consequent")
+
+
+def measured(parts: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """``parts`` (items, support, antecedent, consequent) as rules; supports are looked up in ``known`` by equi-joins."""
+    of = lambda name, alias: known.select(F.col("items").alias(name), F.col("support").alias(alias))
+    out = parts.join(of("antecedent", "coverage"), "antecedent").join(of("consequent", "own"), "consequent")
+    total, both = F.lit(float(n)), F.col("support")
+    lift = (both / total) / ((F.col("coverage") / total) * (F.col("own") / total))
+    return out.select(
+        "items",
+        "antecedent",
+        "consequent",
+        "coverage",
+        both.alias("transaction_count"),
+        (both / F.col("coverage")).alias("confidence"),
+        lift.alias("lift"),
+        (both / total).alias("relative_support"),
+    )
+
+
+def association_rules(
+    itemsets: DataFrame,
+    n: int,
+    min_confidence: float = 0.05,
+    min_lift: float = 0.0,
+    source: DataFrame | None = None,
+    lift_pruning: bool = False,
+) -> DataFrame:
     """(antecedent, consequent, coverage, transaction_count, confidence, lift, relative_support).
 
-    source: sets to part (default: all itemsets); supports come from ``itemsets``. lift_pruning: a longer consequent
-    counts only if the two that it is joined from (without its last, and without its last but one) did.
+    source: sets to part (default: all itemsets), of any size; supports come from ``itemsets``. lift_pruning: a longer
+    consequent counts only if the two that it is joined from (without its last, and without its last but one) did.
+
+    Sets of up to ``CHUNK`` items are parted in one step. Consequents of larger ones, and of all with lift_pruning, grow by one item
+    a level from those that are confident enough: what grows from others never is, so both ways give the same rules.
     """
-    part = splits(source if source is not None else itemsets)
     known = itemsets.select("items", "support")
-    out = part.join(known.select(F.col("items").alias("antecedent"), F.col("support").alias("coverage")), "antecedent").join(known.select(F.col("items").alias("consequent"), F.col("support").alias("_c")), "consequent")
-    total = F.lit(float(n))
-    out = out.select("items", "antecedent", "consequent", "coverage", F.col("support").alias("transaction_count"), (F.col("support") / F.col("coverage")).alias("confidence"), ((F.col("support") / total) / ((F.col("coverage") / total) * (F.col("_c") / total))).alias("lift"), (F.col("support") / total).alias("relative_support"))
-    out = out.where((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
+    sets = (source if source is not None else itemsets).where(F.size("items") >= 2).select("items", "support")
+    enough = (F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)
     if lift_pruning:
-        out = _pruned(out)
+        return _grown(sets, known, n, enough).drop("items")
+    small, large = sets.where(F.size("items") <= CHUNK), sets.where(F.size("items") > CHUNK)
+    out = measured(splits(small), known, n).where(enough)
+    if large.head(1):
+        out = out.unionByName(_grown(large, known, n, F.col("confidence") >= min_confidence).where(enough))
     return out.drop("items")
 
 
-def _pruned(rules: DataFrame) -> DataFrame:
-    kept = level = rules.where(F.size("consequent") == 1).persist()
-    size = 1
-    while level.head(1):
-        size += 1
-        have = level.select("items", F.col("consequent").alias("_y"))
-        level = rules.where(F.size("consequent") == size)
-        for parent in ("slice(consequent, 1, size(consequent) - 1)", "concat(slice(consequent, 1, size(consequent) - 2), array(element_at(consequent, -1)))"):
-            level = level.withColumn("_y", F.expr(parent)).join(have, ["items", "_y"], "left_semi").drop("_y")
-        level = level.persist()
-        kept = kept.unionByName(level)
-    return kept
+def _grown(sets: DataFrame, known: DataFrame, n: int, alive: Column) -> DataFrame:
+    """Rules that are ``alive`` and whose consequents grew from two that are. A level is a table."""
+    parts = sets.select("items", "support", F.explode("items").alias("y"))
+    parts = parts.select("items", "support", F.array_remove("items", F.col("y")).alias("antecedent"), F.array("y").alias("consequent"))
+    found = None
+    while True:
+        level = written(measured(parts, known, n).where(alive), "rules")
+        if not level.head(1):
+            return found if found is not None else level
+        found = level if found is None else found.unionByName(level)
+        head = F.expr("slice(consequent, 1, size(consequent) - 1)").alias("head")
+        rows = level.where(F.size("antecedent") > 1)
+        rows = rows.select("items", F.col("transaction_count").alias("support"), head, F.element_at("consequent", -1).alias("last"))
+        other = rows.select("items", "head", F.col("last").alias("next"))
+        longer = rows.join(other, ["items", "head"]).where("last < next")
+        longer = longer.select("items", "support", F.concat("head", F.array("last", "next")).alias("consequent"))
+        antecedent = F.array_except("items", "consequent").alias("antecedent")
+        parts = longer.select("items", "support", antecedent, "consequent")
 
 
 def about_item(rules: DataFrame, item: int) -> DataFrame:
@@ -73,14 +101,20 @@ def about_item(rules: DataFrame, item: int) -> DataFrame:
     return rules.where(F.array_contains("antecedent", item))
 
 
-def order_keys() -> list:
-    """Falling lift, then the order of generation."""
-    whole = F.array_sort(F.concat("antecedent", "consequent"))
-    return [F.desc("lift"), F.size(whole), whole, F.size("consequent"), F.col("consequent")]
+def whole() -> Column:
+    """All items of a rule, in order."""
+    return F.array_sort(F.concat("antecedent", "consequent"))
+
+
+def order_keys() -> list[Column]:
+    """Falling lift, then the order of generation: smaller sets first, then by items, consequents alike."""
+    return [F.desc("lift"), F.size(whole()), whole(), F.size("consequent"), F.col("consequent")]
 
 
 def collected(rules: DataFrame, name: str) -> DataFrame:
-    """One row: a name and its rules, in order."""
-    row = F.struct((-F.col("lift")).alias("o"), F.array_sort(F.concat("antecedent", "consequent")).alias("w"), *rules.columns)
-    inner = [c for c in rules.columns]
-    return rules.agg(F.array_sort(F.collect_list(row)).alias("r")).select(F.lit(name).alias("name"), F.transform("r", lambda x: F.struct(*(x[c].alias(c) for c in inner))).alias("rules"))
+    """One row: a name and its rules, in the order of ``order_keys``. A value for the driver, as long as the rules are."""
+    keys = [-F.col("lift"), F.size(whole()), whole(), F.size("consequent"), F.col("consequent")]
+    row = F.struct(*(k.alias(f"key {i}") for i, k in enumerate(keys)), *rules.columns)
+    inner = lambda x: F.struct(*(x[c].alias(c) for c in rules.columns))
+    listed = rules.agg(F.array_sort(F.collect_list(row)).alias("r"))
+    return listed.select(F.lit(name).alias("name"), F.transform("r", inner).alias("rules"))

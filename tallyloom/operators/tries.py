@@ -51,3 +51,17 @@ def conditional_base(weighted: DataFrame, item: int) -> DataFrame:
     """(items, weight): what stands before the item in patterns that hold it; empty prefixes are left out."""
     at = F.array_position("items", F.lit(item))
     return weighted.where(at > 1).select(F.slice("items", F.lit(1), (at - 1).cast("int")).alias("items"), "weight").groupBy("items").agg(F.sum("weight").alias("weight"))
+
+
+def nodes(prefixes: DataFrame) -> DataFrame:
+    """(path, item, depth, count, children): every node with its item and its children's items, ascending.
+
+    ``size(children)`` is the number of children, ``get(children, i)`` the one at an index (none beyond the last),
+    ``array_contains`` finds one by its item. A tree is empty if it has no nodes.
+    """
+    below = prefixes.where("depth > 1").select(F.expr("slice(path, 1, depth - 1)").alias("path"), F.element_at("path", -1).alias("x"))
+    below = below.groupBy("path").agg(F.array_sort(F.collect_list("x")).alias("children"))
+    out = prefixes.join(below, "path", "left")
+    none = F.slice("path", 1, 0)
+    children = F.coalesce("children", none).alias("children")
+    return out.select("path", F.element_at("path", -1).alias("item"), "depth", "count", children)

@@ -10,10 +10,16 @@ SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
-    )
+def spark(tmp_path_factory):
+    conf = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "6g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+    }
+    session = SparkSession.builder.master("local[8]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

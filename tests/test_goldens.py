@@ -5,7 +5,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyloom.functions import report
-from tallyloom.operators import baskets, mining, patterns, rules, tries
+from tallyloom.operators import baskets, itemsets as algebra, mining, patterns, rules, tries
+from tallyloom.plans import job
 from tallyloom.sources import lines, sinks
 
 SETS = [([1], 3), ([2], 4), ([3], 4), ([5], 4), ([1, 2], 2), ([1, 3], 3), ([1, 5], 2), ([2, 3], 3), ([2, 5], 4), ([3, 5], 3), ([1, 2, 3], 2), ([1, 2, 5], 2), ([1, 3, 5], 2), ([2, 3, 5], 3), ([1, 2, 3, 5], 2)]
@@ -66,8 +67,16 @@ def test_key_values(spark, tmp_path):
     df = spark.createDataFrame([([1, 2, 3], 100), ([3, 1, 2], 100)], "items array<int>, support long")
     got = sinks.key_values(df, "my-family", "my-qualifier")
     assert [(r.row_key, r.value.hex(), r.family, r.qualifier) for r in got.collect()] == [("[1, 2, 3]", "0000000000000064", "my-family", "my-qualifier")] * 2
-    sinks.write_key_values(got, str(tmp_path / "kv"))
-    assert [tuple(r) for r in sinks.read_supports(spark, str(tmp_path / "kv")).collect()] == [([1, 2, 3], 100)]
+    kv = str(tmp_path / "kv")
+    assert sinks.read_supports(spark, kv).collect() == []
+    sinks.write_key_values(got, kv)
+    assert [tuple(r) for r in sinks.read_supports(spark, kv).collect()] == [([1, 2, 3], 100)]
+    sinks.save_supports(spark.createDataFrame([([1], 1), ([2], 2)], "items array<int>, support long"), sinks.KeyValueTable(kv, "my-family", "my-qualifier"))
+    sinks.save_supports(spark.createDataFrame([([2], 5)], "items array<int>, support long"), sinks.KeyValueTable(kv, "my-family", "my-qualifier"))
+    assert sorted(tuple(r) for r in sinks.read_supports(spark, kv).collect()) == [([1], 1), ([1, 2, 3], 100), ([2], 5)]
+    # a write that failed has left no whole version
+    (tmp_path / "kv" / "v99").mkdir()
+    assert sinks.read_supports(spark, kv).count() == 3
 
 
 def test_formatted_rule_and_block(spark):
@@ -95,3 +104,65 @@ def test_trie(spark):
     assert {(tuple(r["items"]), r.weight) for r in tries.compressed(weighted).collect()} == {((1, 2, 3), 2), ((1, 2), 4), ((4,), 5)}
     assert {(r["item"], r["count"]) for r in tries.children(prefixes, [1]).collect()} == {(2, 3)}
     assert {(r["item"], r["count"]) for r in tries.children(prefixes, []).collect()} == {(1, 3), (2, 3), (4, 5)}
+
+
+STRATEGIES = ["fpgrowth", "weighted", "auto"]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_a_basket_of_17_items_and_bounds_beyond_the_baskets(spark, strategy):
+    wide = spark.createDataFrame([(1, list(range(17))), (2, [3, 5])], "txn_id int, items array<int>")
+    got = mining.frequent_itemsets(wide, 0.5, strategy)
+    assert got.count() == 2**17 - 1 and got.agg(F.max(F.size("items"))).first()[0] == 17
+    assert sorted((r["items"], r.support) for r in got.where("support = 2").collect()) == [([3], 2), ([3, 5], 2), ([5], 2)]
+    assert mining.frequent_itemsets(wide, 1.5, strategy).collect() == []
+    assert mining.frequent_itemsets(wide.where("false"), 0.5, strategy).collect() == []
+
+
+def test_rules_of_a_set_of_13_items_grow_as_they_are_enumerated(spark, monkeypatch):
+    sets = mining.frequent_itemsets(spark.createDataFrame([(1, list(range(6))), (2, [0, 1]), (3, [2, 5, 4])], "txn_id int, items array<int>"), 0.3, "weighted")
+    key = lambda df: sorted(map(str, df.collect()))
+    whole = key(rules.association_rules(sets, 3, 0.6))
+    monkeypatch.setattr(rules, "CHUNK", 2)
+    assert key(rules.association_rules(sets, 3, 0.6)) == whole and len(whole) > 100
+
+
+def test_paths_of_any_length(spark):
+    path = spark.createDataFrame([(list(range(40)), [50 - i for i in range(40)])], "items array<int>, counts array<long>")
+    got = {tuple(r["items"]): r.support for r in mining.path_combinations(path, 37).collect()}
+    assert len(got) == 2**14 - 1 and got[0, 13] == 37 and all(s == 50 - k[-1] for k, s in got.items())
+    assert mining.path_combinations(path.where("false")).collect() == []
+
+
+def test_rules_collection_is_in_rule_order(spark):
+    rows = [([2], [3], 1.5), ([1, 2], [3], 1.5), ([2], [1], 1.5), ([4], [5], 2.0)]
+    df = spark.createDataFrame(rows, "antecedent array<int>, consequent array<int>, lift double")
+    got = rules.collected(df, "n").first()
+    assert got["name"] == "n" and [tuple(r)[:2] for r in got["rules"]] == [([4], [5]), ([2], [1]), ([2], [3]), ([1, 2], [3])]
+    assert [tuple(r)[:2] for r in df.orderBy(*rules.order_keys()).collect()] == [tuple(r)[:2] for r in got["rules"]]
+
+
+def test_itemset_algebra(spark):
+    row = spark.createDataFrame([([1, 2, 3], [2, 3], [1, 2, 4])], "a array<int>, b array<int>, c array<int>")
+    got = row.select(algebra.size("a"), algebra.without_item("a", 2), algebra.without_set("a", "b"), algebra.compared("a", "c"), algebra.compared("a", "a"))
+    assert tuple(got.first()) == (3, [1, 3], [1], -1, 0)
+
+
+def test_negative_items_have_groups_of_their_sign(spark):
+    got = baskets.group_prefixes(spark.createDataFrame([("t", [-4, 3, 5])], "txn_id string, items array<int>"), 3)
+    assert {(r.group_id, tuple(r["items"])) for r in got.collect()} == {(-1, (-4,)), (0, (-4, 3)), (2, (-4, 3, 5))}
+
+
+def test_the_job_from_a_command_line(spark, tmp_path, capsys):
+    (tmp_path / "lines.txt").write_text("".join(f"{t},{n}({i})\n" for t in range(4) for n, i in (("Apfel", 1), ("Birne", 2))) + "9,Apfel(1)\nbad(\n")
+    arguments = ["--input", str(tmp_path / "lines.txt"), "--kv", str(tmp_path / "kv"), "--min-support", "0.5", "--permissive"]
+    job.main([*arguments, "--report", str(tmp_path / "report")])
+    assert sorted(tuple(r) for r in sinks.read_supports(spark, str(tmp_path / "kv")).collect()) == [([1], 5), ([1, 2], 4), ([2], 4)]
+    text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "report")).collect())
+    assert "Apfel => Birne (support: 4, confidence: 0.80, lift: 1.00)" in text and "Item 2" in text
+    job.main(arguments)
+    assert "Birne => Apfel" in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        job.Options(min_support=2.0)
+    with pytest.raises(SystemExit):
+        job.main([])
