@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_name, map_slices, table, texts, worker_state
-from .tokens import JOINED_SPACE, RARE_SPACE, tokenizer_path
+from .tokens import has_joined_space, has_rare_space, tokenizer_path
 
 #: Unicode White_Space, as \s is in the tiktoken library.
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -36,7 +36,7 @@ _NEVER = 1 << 62
 class BytePairs:
     """limit: entries of each memo, emptied when full."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         with open(path, "rb") as lines:
             self.token = {int(rank): base64.b64decode(text) for text, rank in map(bytes.split, lines)}
         self.rank = {t: r for r, t in self.token.items()}
@@ -149,7 +149,7 @@ class BytePairs:
             self.pieces.clear()
         if len(self.words) > self.limit:
             self.words.clear()
-        if RARE_SPACE.search(text) or JOINED_SPACE.search(text):
+        if has_rare_space(text) or has_joined_space(text):
             return self.ids(text)
         # the pattern has a border before each of these spaces, so words with the space before them stand alone
         head, *rest = text.split(" ")

@@ -22,8 +22,26 @@ from .common import worker_state
 RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 #: A space after white space and not before a word: "\\s+(?!\\S)" may join it with what stands before.
 JOINED_SPACE = re.compile(r"\s\x20(?=\s|\Z)")
-#: Runs of line ends that don't stand between two words, or are longer than two.
-AWKWARD_LINES = re.compile(r"[^\S\n]\n|\n[^\S\n]|\n{3}|\A\n|\n\Z")
+#: Two characters of which each text with a ``JOINED_SPACE`` holds some.
+BEFORE_SPACE = [c + " " for c in " \t\n\r\x0b\x0c"]
+#: Line ends that don't stand between two words, or are more than two.
+AWKWARD_LINES = ["\n\n\n", *(c + "\n" for c in " \t\r\x0b\x0c"), *("\n" + c for c in " \t\r\x0b\x0c")]
+
+
+def has_rare_space(text: str) -> bool:
+    """Whether ``RARE_SPACE`` is found; plain searches spare most texts the pattern."""
+    if text.isascii():
+        return any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return RARE_SPACE.search(text) is not None
+
+
+def has_joined_space(text: str) -> bool:
+    """Whether ``JOINED_SPACE`` is found in a text without rare spaces."""
+    return any(p in text for p in BEFORE_SPACE) and JOINED_SPACE.search(text) is not None or text[-2:].isspace()
+
+
+def has_awkward_lines(text: str) -> bool:
+    return "\n" in text and (text[0] == "\n" or text[-1] == "\n" or any(p in text for p in AWKWARD_LINES))
 
 
 def tokenizer_path(name_or_path: str) -> str:
@@ -78,7 +96,7 @@ class Encoder:
     word, gets whole texts.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -124,14 +142,14 @@ class Encoder:
 
     def cut(self, text: str) -> list[str] | None:
         """Pieces whose ids, one after the other, are the text's; None where no cut is certain."""
-        if self.kind is None or RARE_SPACE.search(text):
+        if self.kind is None or has_rare_space(text):
             return None
         if self.words:
             return text.split()
-        if " \n" in text or JOINED_SPACE.search(text):
+        if " \n" in text or has_joined_space(text):
             return None
         # a line end between words is split off before and behind it: it leads the piece after it
-        return (text if AWKWARD_LINES.search(text) else text.replace("\n", " \n")).split(" ")
+        return (text if has_awkward_lines(text) else text.replace("\n", " \n")).split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """texts: a bounded batch."""
