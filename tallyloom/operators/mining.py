@@ -8,7 +8,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.storage import written
+from ..sources.storage import discard, written
 from .baskets import group_of
 from .tries import weighted_baskets
 
@@ -56,26 +56,32 @@ def level_wise(weighted: DataFrame, min_support: float) -> DataFrame:
         return _no_sets(weighted)
     rest = F.array_sort(F.array_distinct("items"))
     start = weighted.select(F.slice(rest, 1, 0).alias("items"), rest.alias("rest"), "weight")
-    return written(grown(start, least, forward=True), "itemsets")
+    return grown(start, least, forward=True)
 
 
 def grown(start: DataFrame, least: int, forward: bool) -> DataFrame:
-    """(items, support) of all sets that extend the given ones and have the least support.
+    """(items, support) of all sets that extend the given ones and have the least support. A table.
 
     start: (items, rest, weight): a set, and what may be added to it, in one order. A level adds one item of ``rest`` and
     keeps what stands after it (forward) or before it. Rows of one set and rest are merged, items that are too rare beside
     a set leave its rests, so rows shrink with the levels. A level is a table: no lineage grows, and there are as many levels as the
-    largest set has items.
+    largest set has items. Tables go once they are read.
     """
     level = start.groupBy("items", "rest").agg(F.sum("weight").alias("weight"))
-    found = None
+    found, before, known = None, None, []
     while True:
         level = written(level, "projected")
+        if before is not None:
+            discard(before)
+        before = level
         ends = level.select("items", F.explode("rest").alias("x"), "weight")
         ends = ends.groupBy("items", "x").agg(F.sum("weight").alias("support")).where(F.col("support") >= least)
         ends = written(ends, "extensions")
+        known.append(ends)
         if not ends.head(1):
-            return found if found is not None else ends.select("items", "support")
+            out = written(found if found is not None else ends.select("items", "support"), "itemsets")
+            discard(level, *known)
+            return out
         longer = F.array_sort(F.concat("items", F.array("x")))
         sets = ends.select(longer.alias("items"), "support")
         found = sets if found is None else found.unionByName(sets)

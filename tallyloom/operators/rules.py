@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import written
@@ -111,6 +111,23 @@ def order_keys() -> list[Column]:
     return [F.desc("lift"), F.size(whole()), whole(), F.size("consequent"), F.col("consequent")]
 
 
+def ranked(rules: DataFrame) -> DataFrame:
+    """``rules`` with ``rank``, from 1, in the order of ``order_keys``.
+
+    Ranges of the order are sorted and numbered each for itself; what meets in one task is a row for each range.
+    """
+    rows = rules.repartitionByRange(*order_keys()).sortWithinPartitions(*order_keys())
+    # the range's number, and 33 bits of the row's place in it
+    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), "ranked")
+    rows = rows.withColumn("range", F.shiftright("at", 33))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("range").agg(F.count("*").alias("n"))
+    starts = sizes.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    out = rows.join(F.broadcast(starts), "range")  # as many rows as a shuffle has tasks
+    return out.withColumn("rank", F.col("start") + place + 1).drop("range", "at", "start")
+
+
 def collected(rules: DataFrame, name: str) -> DataFrame:
     """One row: a name and its rules, in the order of ``order_keys``. A value for the driver, as long as the rules are."""
     keys = [-F.col("lift"), F.size(whole()), whole(), F.size("consequent"), F.col("consequent")]

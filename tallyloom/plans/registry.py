@@ -320,7 +320,7 @@ def _names(spark: SparkSession, sf: str) -> DataFrame:
 
 def q22_formatted_rules(spark: SparkSession, sf: str) -> DataFrame:
     found = report.formatted(rules(spark, sf), _names(spark, sf))
-    return found.withColumn("rank", F.row_number().over(Window.orderBy(*R.order_keys()))).select("rank", "text")
+    return R.ranked(found).select(F.col("rank").cast("int").alias("rank"), "text")
 
 
 def q22b_rules_collection(spark: SparkSession, sf: str) -> DataFrame:

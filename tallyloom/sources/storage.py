@@ -21,7 +21,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in a shared folder: what is read again isn't computed again, and lost executors cost nothing."""
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once nothing that is still to run reads them."""
+    for t in tables:
+        remove(t.sparkSession, t._folder)
 
 
 def files(spark: SparkSession, path: str) -> list[str]:

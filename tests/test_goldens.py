@@ -142,6 +142,20 @@ def test_rules_collection_is_in_rule_order(spark):
     assert [tuple(r)[:2] for r in df.orderBy(*rules.order_keys()).collect()] == [tuple(r)[:2] for r in got["rules"]]
 
 
+def test_ranks_of_rules_over_several_ranges(spark):
+    rows = [([i % 7], [100 + i], float(i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "antecedent array<int>, consequent array<int>, lift double")
+    wanted = [r.consequent for r in df.orderBy(*rules.order_keys()).collect()]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = rules.ranked(df).orderBy("rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r.rank for r in got] == list(range(1, 201)) and [r.consequent for r in got] == wanted
+    assert got[0].asDict().keys() == {"antecedent", "consequent", "lift", "rank"}
+    assert rules.ranked(df.where("false")).collect() == []
+
+
 def test_itemset_algebra(spark):
     row = spark.createDataFrame([([1, 2, 3], [2, 3], [1, 2, 4])], "a array<int>, b array<int>, c array<int>")
     got = row.select(algebra.size("a"), algebra.without_item("a", 2), algebra.without_set("a", "b"), algebra.compared("a", "c"), algebra.compared("a", "a"))
