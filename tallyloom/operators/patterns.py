@@ -17,17 +17,21 @@ def top_k(patterns: DataFrame, k: int = 50) -> DataFrame:
     Spark cuts each task's groups to k rows before it shuffles them.
     """
     order = Window.partitionBy("item").orderBy(F.desc("support"), F.desc(F.size("items")), F.desc("items"))
-    return patterns.select("item", "items", "support").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("item", "rank", "items", "support")
+    rows = patterns.select("item", "items", "support").distinct().withColumn("rank", F.row_number().over(order))
+    return rows.where(F.col("rank") <= k).select("item", "rank", "items", "support")
 
 
 def merge_top_k(a: DataFrame, b: DataFrame, k: int = 50) -> DataFrame:
     """The best k of two ranked tables."""
-    return top_k(a.select("item", "items", "support").unionByName(b.select("item", "items", "support")), k)
+    columns = ["item", "items", "support"]
+    return top_k(a.select(*columns).unionByName(b.select(*columns)), k)
 
 
 def collected(ranked: DataFrame) -> DataFrame:
     """(item, patterns): array of (items, support) by rank."""
-    return ranked.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("rank", "items", "support"))).alias("p")).select("item", F.transform("p", lambda x: F.struct(x["items"].alias("items"), x["support"].alias("support"))).alias("patterns"))
+    listed = F.array_sort(F.collect_list(F.struct("rank", "items", "support")))
+    unranked = lambda x: F.struct(x["items"].alias("items"), x["support"].alias("support"))
+    return ranked.groupBy("item").agg(listed.alias("p")).select("item", F.transform("p", unranked).alias("patterns"))
 
 
 def flatten(lists: DataFrame) -> DataFrame:

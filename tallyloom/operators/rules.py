@@ -16,9 +16,11 @@ def supports(wanted: DataFrame, itemsets: DataFrame) -> DataFrame:
 
 def candidates(itemsets: DataFrame) -> DataFrame:
     """Sets one longer: pairs that share all items but the last, joined on that prefix."""
-    rows = itemsets.select(F.expr("slice(items, 1, size(items) - 1)").alias("head"), F.element_at("items", -1).alias("last"))
+    head = F.expr("slice(items, 1, size(items) - 1)").alias("head")
+    rows = itemsets.select(head, F.element_at("items", -1).alias("last"))
     other = rows.select("head", F.col("last").alias("next"))
-    return rows.join(other, "head").where("last < next").select(F.concat("head", F.array("last", "next")).alias("items"))
+    longer = F.concat("head", F.array("last", "next")).alias("items")
+    return rows.join(other, "head").where("last < next").select(longer)
 
 
 def splits(itemsets: DataFrame) -> DataFrame:

@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 def prefix_table(weighted: DataFrame) -> DataFrame:
     """(path, depth, count): the weight of all patterns that start with the path. weighted: (items, weight)."""
     rows = weighted.where(F.size("items") > 0)
-    paths = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("items")), lambda d: F.slice("items", F.lit(1), d))).alias("path"), "weight")
-    return paths.groupBy("path").agg(F.sum("weight").alias("count")).select("path", F.size("path").alias("depth"), "count")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size("items")), lambda d: F.slice("items", F.lit(1), d))
+    counts = rows.select(F.explode(prefixes).alias("path"), "weight").groupBy("path").agg(F.sum("weight").alias("count"))
+    return counts.select("path", F.size("path").alias("depth"), "count")
 
 
 def residuals(prefixes: DataFrame) -> DataFrame:
     """(items, weight): count less the counts of the children, where that isn't 0: the patterns that were added."""
-    children = prefixes.where("depth > 1").select(F.expr("slice(path, 1, depth - 1)").alias("path"), F.col("count").alias("c")).groupBy("path").agg(F.sum("c").alias("below"))
-    return prefixes.join(children, "path", "left").select(F.col("path").alias("items"), (F.col("count") - F.coalesce("below", F.lit(0))).alias("weight")).where("weight <> 0")
+    parent = F.expr("slice(path, 1, depth - 1)").alias("path")
+    children = prefixes.where("depth > 1").select(parent, F.col("count").alias("c"))
+    below = children.groupBy("path").agg(F.sum("c").alias("below"))
+    weight = (F.col("count") - F.coalesce("below", F.lit(0))).alias("weight")
+    return prefixes.join(below, "path", "left").select(F.col("path").alias("items"), weight).where("weight <> 0")
 
 
 def merge(*weighted: DataFrame) -> DataFrame:
@@ -29,7 +33,8 @@ def merge(*weighted: DataFrame) -> DataFrame:
 
 def compressed(weighted: DataFrame) -> DataFrame:
     """Patterns by ascending items, equal ones as one."""
-    return weighted.select(F.array_sort("items").alias("items"), "weight").groupBy("items").agg(F.sum("weight").alias("weight"))
+    rows = weighted.select(F.array_sort("items").alias("items"), "weight")
+    return rows.groupBy("items").agg(F.sum("weight").alias("weight"))
 
 
 def weighted_baskets(baskets: DataFrame) -> DataFrame:
@@ -39,18 +44,23 @@ def weighted_baskets(baskets: DataFrame) -> DataFrame:
 
 def f_list(weighted: DataFrame) -> DataFrame:
     """(item, weight): summed weights of the patterns that hold the item."""
-    return weighted.select(F.explode("items").alias("item"), "weight").groupBy("item").agg(F.sum("weight").alias("weight"))
+    rows = weighted.select(F.explode("items").alias("item"), "weight")
+    return rows.groupBy("item").agg(F.sum("weight").alias("weight"))
 
 
 def children(prefixes: DataFrame, path: list[int]) -> DataFrame:
     """(item, count) of a path's children."""
-    return prefixes.where((F.col("depth") == len(path) + 1) & (F.slice("path", 1, len(path)) == F.array(*map(F.lit, path)).cast("array<int>") if path else F.col("depth") == 1)).select(F.element_at("path", -1).alias("item"), "count")
+    below = prefixes.where(F.col("depth") == len(path) + 1)
+    if path:
+        below = below.where(F.slice("path", 1, len(path)) == F.array(*map(F.lit, path)).cast("array<int>"))
+    return below.select(F.element_at("path", -1).alias("item"), "count")
 
 
 def conditional_base(weighted: DataFrame, item: int) -> DataFrame:
     """(items, weight): what stands before the item in patterns that hold it; empty prefixes are left out."""
     at = F.array_position("items", F.lit(item))
-    return weighted.where(at > 1).select(F.slice("items", F.lit(1), (at - 1).cast("int")).alias("items"), "weight").groupBy("items").agg(F.sum("weight").alias("weight"))
+    before = F.slice("items", F.lit(1), (at - 1).cast("int")).alias("items")
+    return weighted.where(at > 1).select(before, "weight").groupBy("items").agg(F.sum("weight").alias("weight"))
 
 
 def nodes(prefixes: DataFrame) -> DataFrame:
@@ -59,7 +69,8 @@ def nodes(prefixes: DataFrame) -> DataFrame:
     ``size(children)`` is the number of children, ``get(children, i)`` the one at an index (none beyond the last),
     ``array_contains`` finds one by its item. A tree is empty if it has no nodes.
     """
-    below = prefixes.where("depth > 1").select(F.expr("slice(path, 1, depth - 1)").alias("path"), F.element_at("path", -1).alias("x"))
+    parent = F.expr("slice(path, 1, depth - 1)").alias("path")
+    below = prefixes.where("depth > 1").select(parent, F.element_at("path", -1).alias("x"))
     below = below.groupBy("path").agg(F.array_sort(F.collect_list("x")).alias("children"))
     out = prefixes.join(below, "path", "left")
     none = F.slice("path", 1, 0)
