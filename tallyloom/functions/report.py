@@ -13,11 +13,18 @@ def formatted(rules: DataFrame, names: DataFrame) -> DataFrame:
     """
     keyed = rules.withColumn("_k", F.struct("antecedent", "consequent"))
     sides = keyed.select("_k").distinct()
-    parts = sides.select("_k", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("_k.antecedent").alias("s")), F.struct(F.lit(1).alias("side"), F.col("_k.consequent").alias("s")))).alias("e")).select("_k", "e.side", F.posexplode("e.s").alias("pos", "item"))
+    side = lambda number, name: F.struct(F.lit(number).alias("side"), F.col(f"_k.{name}").alias("s"))
+    both = sides.select("_k", F.explode(F.array(side(0, "antecedent"), side(1, "consequent"))).alias("e"))
+    parts = both.select("_k", "e.side", F.posexplode("e.s").alias("pos", "item"))
     named = parts.join(names, "item", "left").withColumn("name", F.coalesce("name", F.col("item").cast("string")))
-    text = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "name")))), lambda x: x["name"]), ",")
+
+    def text(number: int) -> Column:
+        placed = F.collect_list(F.when(F.col("side") == number, F.struct("pos", "name")))
+        return F.array_join(F.transform(F.array_sort(placed), lambda x: x["name"]), ",")
+
     sides = named.groupBy("_k").agg(text(0).alias("_a"), text(1).alias("_c"))
-    line = F.format_string("%s => %s (support: %d, confidence: %.2f, lift: %.2f)", "_a", "_c", "transaction_count", "confidence", "lift")
+    shape = "%s => %s (support: %d, confidence: %.2f, lift: %.2f)"
+    line = F.format_string(shape, "_a", "_c", "transaction_count", "confidence", "lift")
     return keyed.join(sides, "_k").withColumn("text", line).drop("_k", "_a", "_c")
 
 
@@ -27,6 +34,16 @@ def blocks(items: DataFrame, rules: DataFrame) -> DataFrame:
     rules: (item, antecedent, consequent, lift, text).
     """
     whole: Column = F.array_sort(F.concat("antecedent", "consequent"))
-    key = F.struct((-F.col("lift")).alias("l"), F.size(whole).alias("n"), whole.alias("w"), F.size("consequent").alias("m"), F.col("consequent").alias("c"), F.col("text").alias("text"))
-    lines = rules.groupBy("item").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: F.concat(x["text"], F.lit("\n"))), "").alias("lines"))
-    return items.select("item").distinct().join(lines, "item", "left").select("item", F.concat(F.lit("Item "), F.col("item").cast("string"), F.lit("\n"), F.coalesce("lines", F.lit(""))).alias("value"))
+    key = F.struct(
+        (-F.col("lift")).alias("l"),
+        F.size(whole).alias("n"),
+        whole.alias("w"),
+        F.size("consequent").alias("m"),
+        F.col("consequent").alias("c"),
+        "text",
+    )
+    ended = F.transform(F.array_sort(F.collect_list(key)), lambda x: F.concat(x["text"], F.lit("\n")))
+    lines = rules.groupBy("item").agg(F.array_join(ended, "").alias("lines"))
+    head = F.concat(F.lit("Item "), F.col("item").cast("string"), F.lit("\n"))
+    value = F.concat(head, F.coalesce("lines", F.lit(""))).alias("value")
+    return items.select("item").distinct().join(lines, "item", "left").select("item", value)
