@@ -2,6 +2,7 @@
 
 import json
 import random
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -97,6 +98,47 @@ def test_blocks_meet_down_a_tree(spark, monkeypatch):
     assert seen[-1] >= 20
 
 
+def moved(spark):
+    """Bytes that each stage so far has written to shuffle files."""
+    gateway = spark.sparkContext._gateway
+    none = gateway.new_array(gateway.jvm.double, 0)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, none, None)
+    return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (stages.apply(i) for i in range(stages.size()))}
+
+
+def test_disk_follows_the_text(spark, monkeypatch):
+    """Texts that all share much with others, in one neighbourhood of many blocks: no table and no exchange is larger
+    than the text. Sets of hashes, or blocks copied for each pair, would be."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    texts = []
+    for chain in range(12):
+        w = [word() for _ in range(400)]
+        for _ in range(60):
+            w = list(w)
+            for _ in range(3):
+                w[rng.randrange(400)] = word()
+            texts.append(" ".join(w))
+    rows = list(enumerate(texts, 1))
+    rng.shuffle(rows)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    tables, plain = {}, ngram_join.written
+
+    def weighed(df, name):
+        out = plain(df, name)
+        files = [f for f in Path(out._folder.removeprefix("file:")).rglob("*.parquet")]
+        tables[name] = max(tables.get(name, 0), sum(f.stat().st_size for f in files))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", weighed)
+    size, before = sum(map(len, texts)), moved(spark)
+    got = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()))
+    assert got == brute_fast(rows)
+    assert "ngram-meetings" in tables and max(tables.values()) < size
+    # rows of exchanges have keys besides
+    assert max(n for k, n in moved(spark).items() if k not in before) < 1.3 * size
+
+
 def brute_fast(rows):
     """As ``brute``, over pairs that share a shingle."""
     sets, holders = {}, {}
