@@ -61,6 +61,36 @@ def test_a_file_that_splits_in_another_way_gets_whole_texts(tmp_path):
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(part)] == [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize(("name", "parts"), [("word_bpe_49k.json", "a|word|.|,|(|)"), ("byte_bpe_50k.json", " Word| word| WORD|.|,| (|word|)")])
+def test_parts_of_plain_pieces_are_merged_once(name, parts):
+    own, seen = Encoder(P.path(name)), []
+    merge = own.plain_parts
+    own.plain_parts = lambda x: seen.extend(x) or merge(x)
+    own.encode(["a Word word WORD word. word, (word)", "a word. Word"])
+    assert sorted(seen) == sorted(parts.split("|"))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_plain_pieces_equal_the_library(name):
+    t = Tokenizer.from_file(P.path(name))
+    t.encode_special_tokens = True
+    rng, parts = random.Random(9), [*map(chr, range(0x21, 0x100)), "'s", "'T", "'re", "'Ll", "Straße", "ÀÉ", "12", "...", "!'", "Ā", "Σ", "e\u0301", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", "", " ", "\n"]) for _ in range(rng.randint(1, 14))) for _ in range(6000)]
+    own = Encoder(P.path(name), limit=500)
+    for k in range(0, len(texts), 200):
+        part = texts[k : k + 200]
+        assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(part)] == [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
+
+
+def test_added_tokens_that_stand_for_themselves_get_whole_texts(tmp_path):
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        other = json.load(file)
+    other["added_tokens"].append(other["added_tokens"][0] | {"id": 60_000, "content": "cat sat", "special": False})
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    t, text = Tokenizer.from_file(str(tmp_path / "other.json")), "the cat sat on the mat"
+    assert np.frombuffer(Encoder(str(tmp_path / "other.json")).encode([text])[0], "<u4").tolist() == t.encode(text).ids
+
+
 @pytest.fixture(scope="module")
 def bpe():
     return BytePairs(P.path("byte_bpe_multi_50k.tiktoken"), limit=1000)
