@@ -139,6 +139,36 @@ def test_disk_follows_the_text(spark, monkeypatch):
     assert max(n for k, n in moved(spark).items() if k not in before) < 1.3 * size
 
 
+def test_members_of_blocks_wait_until_the_rows_are_gone(spark, monkeypatch):
+    """While the rows of a large neighbourhood and their exchange take disk, its blocks are compressed texts."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    texts = []
+    for chain in range(3):
+        w = [word() for _ in range(200)]
+        for _ in range(40):
+            w = list(w)
+            for _ in range(2):
+                w[rng.randrange(200)] = word()
+            texts.append(" ".join(w))
+    rows = list(enumerate(texts, 1))
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    blocks, plain = {}, ngram_join.discard
+
+    def looked(*tables):
+        for t in tables:
+            folder = Path(t._folder.removeprefix("file:"))
+            if folder.name.startswith("ngram-labelled"):
+                blocks.update({f.name: f.stat().st_size for d in folder.parent.glob("ngram-blocks-*") for f in d.iterdir()})
+        plain(*tables)
+
+    monkeypatch.setattr(ngram_join, "discard", looked)
+    got = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()))
+    assert got == brute_fast(rows)
+    assert len(blocks) >= 15 and all(f.endswith(".texts") for f in blocks)
+    assert sum(blocks.values()) < sum(map(len, texts))
+
+
 def brute_fast(rows):
     """As ``brute``, over pairs that share a shingle."""
     sets, holders = {}, {}
